@@ -4,9 +4,9 @@ from __future__ import annotations
 
 
 def registry() -> dict:
-    from segspark.queries import survey
+    from segspark.queries import statistics, survey
 
     out = {}
-    for module in (survey,):
+    for module in (survey, statistics):
         out.update(module.QUERIES)
     return out

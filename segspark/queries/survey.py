@@ -317,7 +317,7 @@ def segment_rule_check(spark, sf_dir):
 
     rows = s.spending(spark, sf_dir).withColumn("Segmentation", c.spend_segment(F.col("Spending") / 30))
     bad = segment_rule_mismatches(rows.withColumn("PPA", F.col("PPA") / 2500), bounds=(25, 60, 100))
-    return rounded(bad.select("ID", "Segmentation", "PPA"))
+    return rounded(bad.select("ID", "Segmentation", "PPA"), 9)
 
 
 segment_rule_check_sql = f"""WITH {s.SPENDING_SQL},
@@ -325,7 +325,7 @@ x AS (SELECT "ID", "PPA" / 2500 AS r, "Spending" / 30 AS x FROM segmentation),
 l AS (SELECT *, CASE WHEN x < 25000 THEN 1 WHEN x BETWEEN 25000 AND 59000 THEN 2
   WHEN x BETWEEN 60000 AND 99000 THEN 3 ELSE 4 END AS k FROM x)
 SELECT "ID", CASE k WHEN 1 THEN '{fixed.SEGMENT_MASS}' WHEN 2 THEN '{fixed.SEGMENT_MASS_ASPIRING}'
-  WHEN 3 THEN '{fixed.SEGMENT_PREMIUM}' ELSE '{fixed.SEGMENT_SUPER_PREMIUM}' END AS "Segmentation", {sql_round("r", "PPA")}
+  WHEN 3 THEN '{fixed.SEGMENT_PREMIUM}' ELSE '{fixed.SEGMENT_SUPER_PREMIUM}' END AS "Segmentation", {sql_round("r", "PPA", 9)}
 FROM l WHERE k = 1 AND r >= 25 OR k = 2 AND (r < 25 OR r >= 60) OR k = 3 AND (r < 60 OR r >= 100) OR k = 4 AND r < 100"""
 
 
