@@ -4,9 +4,9 @@ from __future__ import annotations
 
 
 def registry() -> dict:
-    from segspark.queries import statistics, survey
+    from segspark.queries import clusters, statistics, survey
 
     out = {}
-    for module in (survey, statistics):
+    for module in (survey, statistics, clusters):
         out.update(module.QUERIES)
     return out
