@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
+from segspark.operators import centroids as ce
 from segspark.operators import density as dn
 from segspark.operators import indices as ix
+from segspark.operators import tuning as tu
+from segspark.operators.encode import FeatureEncoder, FeatureSpec
+from segspark.operators.models import ClusterSpec, fit_cluster
+from segspark.operators.profiles import profile_table
+from segspark.queries import statistics
 from segspark.queries.standins import rounded, sql_round, table
+from segspark.session import materialize
 
 
 def vectors(spark, sf_dir):
@@ -143,7 +151,212 @@ def hdbscan_fit(spark, sf_dir):
     return dn.hdbscan(vectors(spark, sf_dir), "x", "vec_id", min_cluster_size=5, min_samples=2)
 
 
+# ---- centroid and mixture models ----------------------------------------------------
+
+_START_SQL = f"{VECTORS_SQL}, {_index_ctes('label').split('mo AS')[0].rstrip().rstrip(',')}"
+
+
+def _label_centers(spark, sf_dir):
+    """The mean vector of each label, as start centroids."""
+    long = ix.labellings(vectors(spark, sf_dir), "x", ["label"], "vec_id")
+    return ix.cluster_moments(long).select(F.col("label").cast("int").alias("cluster"), "mu")
+
+
+def nearest_centroid_assign(spark, sf_dir):
+    """Closest label centroid of every vector."""
+    centers = _label_centers(spark, sf_dir).agg(
+        F.array_sort(F.collect_list(F.struct("cluster", "mu")))["mu"].alias("c")
+    ).scalar()
+    rows = vectors(spark, sf_dir).withColumn("_c", centers)
+    return rows.select("vec_id", ce.nearest_centroid("x", F.col("_c")).alias("cluster"))
+
+
+_ASSIGN_SQL = """asg AS (SELECT vec_id, x, arg_min(l, list_distance(x, mu))::INTEGER AS cluster
+  FROM v, mu GROUP BY vec_id, x)"""
+nearest_centroid_assign_sql = f"WITH {_START_SQL}, {_ASSIGN_SQL} SELECT vec_id, cluster FROM asg"
+
+
+def _by_dimension(df, *arrays):
+    pos = F.posexplode(arrays[0]).alias("d", arrays[0])
+    rest = [c for c in df.columns if c not in arrays]
+    out = df.select(*rest, *arrays[1:], pos)
+    return rounded(out.select(*rest, F.col("d"), arrays[0], *[F.col(a)[F.col("d")].alias(a) for a in arrays[1:]]))
+
+
+def kmeans_one_step(spark, sf_dir):
+    """One assignment and update from the label centroids, long by dimension."""
+    step = ce.kmeans_step(vectors(spark, sf_dir), "x", _label_centers(spark, sf_dir))
+    return _by_dimension(step, "mu")
+
+
+kmeans_one_step_sql = f"""WITH {_START_SQL}, {_ASSIGN_SQL},
+u AS (SELECT cluster, unnest(x) AS e, unnest(range(0, 64)) AS d FROM asg)
+SELECT cluster, count(*) AS n, d::INTEGER AS d, {sql_round("avg(e)", "mu")} FROM u GROUP BY cluster, d"""
+
+
+def _em_step(kind):
+    def run(spark, sf_dir):
+        rows = vectors(spark, sf_dir)
+        data = rows.select("x", F.col("label").cast("int").alias("label"))
+        k = rows.agg(F.max("label")).first()[0] + 1
+        shift = ce.column_means(data)
+        step = ce.mixture_step(data, ce.mixture_from_labels(data, "label", k, kind, shift), shift)
+        return _mixture_rows(spark, step)
+
+    return run
+
+
+def _mixture_rows(spark, m):
+    """Parameters in long form: component, weight, dimension, mean and variance."""
+    k, d = m.means.shape
+    variance = {
+        "full": lambda: np.stack([np.diag(c) for c in m.covariances]),
+        "tied": lambda: np.tile(np.diag(m.covariances), (k, 1)),
+        "diag": lambda: m.covariances,
+        "spherical": lambda: np.tile(m.covariances[:, None], (1, d)),
+    }[m.covariance_type]()
+    rows = [(j, float(m.weights[j]), m.means[j].tolist(), variance[j].tolist()) for j in range(k)]
+    df = spark.createDataFrame(rows, "component int, weight double, mean array<double>, var array<double>")
+    return _by_dimension(df, "mean", "var")
+
+
+def _em_sql(spherical):
+    pool = "avg(s) OVER (PARTITION BY j)" if spherical else "s"
+    return f"""WITH {VECTORS_SQL},
+u AS MATERIALIZED (SELECT vec_id, label AS l, unnest(x) AS e, unnest(range(0, 64)) AS d FROM v),
+p0 AS (SELECT l AS j, d, avg(e) AS m, var_pop(e) + 1e-6 AS s, count(*)::DOUBLE / (SELECT count(*) FROM v) AS w FROM u GROUP BY 1, 2),
+p AS MATERIALIZED (SELECT j, d, m, {pool} AS s, w FROM p0),
+lj AS (SELECT vec_id, j, ln(min(w)) - 0.5 * sum(ln(2 * pi()) + ln(s) + pow(e - m, 2) / s) AS lp FROM u JOIN p USING (d) GROUP BY 1, 2),
+mx AS (SELECT vec_id, j, exp(lp - max(lp) OVER (PARTITION BY vec_id)) AS q FROM lj),
+r AS MATERIALIZED (SELECT vec_id, j, q / sum(q) OVER (PARTITION BY vec_id) AS r FROM mx),
+n0 AS (SELECT j, d, sum(r) AS n, sum(r * e) / sum(r) AS m, sum(r * e * e) / sum(r) - pow(sum(r * e) / sum(r), 2) + 1e-6 AS s
+  FROM r JOIN u USING (vec_id) GROUP BY 1, 2)
+SELECT j::INTEGER AS component, d::INTEGER AS d, {sql_round("n / (SELECT count(*) FROM v)", "weight")}, {sql_round("m", "mean")},
+  {sql_round(pool, "var")} FROM n0"""
+
+
+def customer_features(spark, sf_dir):
+    """Behaviour of every customer, logged and standardized, as one array."""
+    orders = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(
+        F.count("*").alias("Visit"), F.round(F.sum("o_totalprice"), 2).alias("Spending"),
+        F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("urgent"),
+    )
+    rows = table(spark, sf_dir, "customer").join(orders, F.col("c_custkey") == F.col("o_custkey")).select(
+        "c_custkey", "Visit", "Spending", (F.col("Spending") / F.col("Visit")).alias("PPA"), "urgent", "c_acctbal"
+    )
+    spec = FeatureSpec(log_numeric=["Visit", "Spending", "PPA"], numeric=["urgent", "c_acctbal"])
+    return FeatureEncoder(spec).fit(rows).transform_array(rows, ["c_custkey"])
+
+
+def kmeans_fit(spark, sf_dir):
+    rows = customer_features(spark, sf_dir)
+    return ce.fit_kmeans(rows, "features", "c_custkey", k=3, n_init=2).predict(rows, "features", "c_custkey")
+
+
+def gmm_fit_full(spark, sf_dir):
+    rows = customer_features(spark, sf_dir)
+    fit = ce.fit_mixture(rows, "features", "c_custkey", k=3, covariance_type="full")
+    return fit.predict(rows, "features", "c_custkey")
+
+
+def pca_2d(spark, sf_dir):
+    rows = customer_features(spark, sf_dir)
+    out, shares = ce.principal_axes(rows, "features", "c_custkey")
+    return rounded(out.withColumn("explained", F.lit(sum(shares))))
+
+
+def customer_segments(spark, sf_dir):
+    """Which customer groups exist and how do they differ?"""
+    rows = materialize(customer_features(spark, sf_dir))
+    spec = ClusterSpec("kmeans", {"n_clusters": 3, "n_init": 2})
+    labels = fit_cluster(rows, "features", "c_custkey", spec).labels
+    profiled = statistics._customers(spark, sf_dir).drop("cluster").join(labels, "c_custkey")
+    return rounded(profile_table(profiled, statistics.PROFILE, statistics.MODES))
+
+
+# ---- trials --------------------------------------------------------------------------
+
+LABELLINGS = {"label": "label", "parity": "label % 2", "third": "label % 3", "half": "label // 5"}
+
+
+def _scored(spark, sf_dir):
+    """Indices of four labellings of the vectors, as a table of trials."""
+    rows = vectors(spark, sf_dir).withColumns(
+        {"third": F.col("label") % 3, "half": F.floor(F.col("label") / 5)}
+    )
+    return ix.evaluate_many(rows, "x", list(LABELLINGS), "vec_id").withColumnRenamed("labelling", "model")
+
+
+def _scored_sql():
+    ctes, unions = [], []
+    for i, (name, expression) in enumerate(LABELLINGS.items()):
+        ctes.append(_index_ctes(name, f"_{i}"))
+        unions.append(
+            f"SELECT '{name}' AS model, k AS n_clusters, (SELECT avg(s) FROM si_{i}) AS sil, ch, (SELECT db FROM db_{i}) AS db FROM ch_{i}"
+        )
+    source = "v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x, " + ", ".join(
+        f"({e})::BIGINT AS {n}" for n, e in LABELLINGS.items()
+    ) + " FROM embeddings)"
+    return f"WITH {source}, {', '.join(ctes)}, t AS ({' UNION ALL '.join(unions)})"
+
+
+def composite_rank(spark, sf_dir):
+    """Labellings ranked by the composite score."""
+    ranked = tu.leaderboard(_scored(spark, sf_dir))
+    return rounded(ranked.select("model", "n_clusters", "silhouette", "calinski_harabasz", "davies_bouldin", "composite_score"))
+
+
+_COMPOSITE_SQL = """0.4 * sil + 0.3 * (ch - min(ch) OVER ()) / (max(ch) OVER () - min(ch) OVER ())
+  + 0.3 * (max(db) OVER () - db) / (max(db) OVER () - min(db) OVER ())"""
+composite_rank_sql = f"""{_scored_sql()} SELECT model, n_clusters, {sql_round("sil", "silhouette")}, {sql_round("ch", "calinski_harabasz")},
+  {sql_round("db", "davies_bouldin")}, {sql_round(_COMPOSITE_SQL, "composite_score")} FROM t"""
+
+
+def best_per_metric(spark, sf_dir):
+    return rounded(tu.best_per_metric(_scored(spark, sf_dir), ["silhouette", "calinski_harabasz", "davies_bouldin"]))
+
+
+best_per_metric_sql = f"""{_scored_sql()}
+SELECT 'silhouette' AS metric, arg_max(model, sil) AS model, {sql_round("max(sil)", "value")} FROM t
+UNION ALL SELECT 'calinski_harabasz', arg_max(model, ch), {sql_round("max(ch)", "value")} FROM t
+UNION ALL SELECT 'davies_bouldin', arg_min(model, db), {sql_round("min(db)", "value")} FROM t"""
+
+
+def _trial_rows(search):
+    return rounded(tu.leaderboard(search.results).drop("params"))
+
+
+def grid_search_kmeans(spark, sf_dir):
+    rows = customer_features(spark, sf_dir)
+    grid = {"n_clusters": [3, 4, 5], "init": ["k-means++"], "n_init": [1, 2], "max_iter": [100]}
+    return _trial_rows(tu.grid_search(rows, "features", "c_custkey", "kmeans", grid))
+
+
+def model_comparison(spark, sf_dir):
+    """The four models with their comparison settings on the customer features."""
+    specs = {
+        "KMeans": ClusterSpec("kmeans", {"n_init": 2}, 5),
+        "GMM": ClusterSpec("gmm", {"covariance_type": "full"}, 5),
+        "DBSCAN": ClusterSpec("dbscan", {"eps": 0.5, "min_samples": 10}),
+        "HDBSCAN": ClusterSpec("hdbscan", {"min_cluster_size": 15, "min_samples": 10}),
+    }
+    return _trial_rows(tu.compare_models(customer_features(spark, sf_dir), "features", "c_custkey", specs))
+
+
 QUERIES = {
+    "customer_segments": (customer_segments, None),
+    "nearest_centroid_assign": (nearest_centroid_assign, nearest_centroid_assign_sql),
+    "kmeans_one_step": (kmeans_one_step, kmeans_one_step_sql),
+    "gmm_one_em_step_diag": (_em_step("diag"), _em_sql(False)),
+    "gmm_one_em_step_spherical": (_em_step("spherical"), _em_sql(True)),
+    "gmm_one_em_step_tied": (_em_step("tied"), None),
+    "kmeans_fit": (kmeans_fit, None),
+    "gmm_fit_full": (gmm_fit_full, None),
+    "pca_2d": (pca_2d, None),
+    "composite_rank": (composite_rank, composite_rank_sql),
+    "best_per_metric": (best_per_metric, best_per_metric_sql),
+    "grid_search_kmeans": (grid_search_kmeans, None),
+    "model_comparison": (model_comparison, None),
     "eps_neighbours": (eps_neighbours, eps_neighbours_sql),
     "dbscan_euclidean": (dbscan_euclidean, _dbscan_sql("list_distance(a.x, b.x)", EPS)),
     "dbscan_manhattan": (dbscan_manhattan, _dbscan_sql(_MANHATTAN, EPS_MANHATTAN)),
