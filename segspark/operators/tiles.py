@@ -58,16 +58,16 @@ def cut(rows: DataFrame, x: str = "x", reach: float | None = None, most: int = M
     n = rows.count()
     blocks = max(1, math.ceil(n / block_rows(n, spark.sparkContext.defaultParallelism, most)))
     if reach is None or blocks == 1:
-        blocked = rows.withColumn("block", F.pmod(F.xxhash64("pid"), F.lit(blocks)).cast("int"))
+        blocked = rows.withColumn("_block", F.pmod(F.xxhash64("pid"), F.lit(blocks)).cast("int"))
         ranges = [(b, 0, blocks - 1) for b in range(blocks)]
     else:
         blocked = materialize(
-            rows.withColumn("t", _along_main_axis(rows, x))
-            .repartitionByRange(blocks, "t", "pid")
-            .withColumn("block", F.spark_partition_id())
+            rows.withColumn("_t", _along_main_axis(rows, x))
+            .repartitionByRange(blocks, "_t", "pid")
+            .withColumn("_block", F.spark_partition_id())
         )
         ranges = _reachable(blocked, reach)
-    directory = spark.createDataFrame(ranges, "block int, first int, last int")
+    directory = spark.createDataFrame(ranges, "_block int, _first int, _last int")
     return Tiles(blocked, directory, blocks)
 
 
@@ -81,8 +81,8 @@ def _along_main_axis(rows: DataFrame, x: str):
 def _reachable(blocked: DataFrame, reach: float) -> list[tuple[int, int, int]]:
     """Per block the range of blocks within reach along the axis (one small row per block)."""
     spans = {
-        r["block"]: (r["lo"], r["hi"])
-        for r in blocked.groupBy("block").agg(F.min("t").alias("lo"), F.max("t").alias("hi")).collect()
+        r["_block"]: (r["lo"], r["hi"])
+        for r in blocked.groupBy("_block").agg(F.min("_t").alias("lo"), F.max("_t").alias("hi")).collect()
     }
     order = sorted(spans)
     slack = reach * (1 + 1e-6) + 1e-9
@@ -101,12 +101,12 @@ def meet(tiles: Tiles, kernel: Kernel, schema: str, columns: Sequence[str]) -> D
 
     The kernel gets both blocks and whether they are the same block.
     """
-    rows = tiles.rows.select("block", *columns).join(tiles.directory, "block")
+    rows = tiles.rows.select("_block", *columns).join(tiles.directory, "_block")
     left = rows.select(
-        F.col("block").alias("bi"), F.explode(F.sequence("block", "last")).alias("bj"), *columns
+        F.col("_block").alias("bi"), F.explode(F.sequence("_block", "_last")).alias("bj"), *columns
     )
     right = rows.select(
-        F.explode(F.sequence("first", "block")).alias("bi"), F.col("block").alias("bj"),
+        F.explode(F.sequence("_first", "_block")).alias("bi"), F.col("_block").alias("bj"),
         *[F.col(c).alias(c) for c in columns],
     )
     empty = {f.name: pd.Series(dtype="object") for f in T.StructType.fromDDL(schema)}
