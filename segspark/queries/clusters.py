@@ -54,8 +54,6 @@ calinski_harabasz_sql = f"WITH {VECTORS_SQL}, {_index_ctes('label')} SELECT 'lab
 
 
 def davies_bouldin(spark, sf_dir):
-    from segspark.session import materialize
-
     long = ix.labellings(vectors(spark, sf_dir), "x", ["label", "parity"], "vec_id")
     return rounded(ix.davies_bouldin(materialize(ix.cluster_moments(long))))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from segspark.functions import columns as c
 from segspark.functions import fixed
 from segspark.operators import tables as t
+from segspark.operators.describe import segment_rule_mismatches
 from segspark.operators.encode import FeatureEncoder, FeatureSpec
 from segspark.operators.features import FUNNEL, BrandSpec, build_features
 from segspark.operators.quantiles import median
@@ -14,6 +15,7 @@ from segspark.operators.scaling import standardized, winsorize
 from segspark.plans import cleaners, integrate
 from segspark.queries import standins as s
 from segspark.queries.standins import rounded, sql_round, table
+from segspark.session import materialize
 
 BRANDS = BrandSpec(focal=s.FOCAL, keep=s.KEEP)
 
@@ -22,7 +24,8 @@ BRANDS = BrandSpec(focal=s.FOCAL, keep=s.KEEP)
 
 def merged(spark, sf_dir):
     """Demographics, need states, brand health, brand image and spending of one year."""
-    rows = s.lines(spark, sf_dir)
+    # Four tables are derived from the joined lines: join once, read four times.
+    rows = materialize(s.lines(spark, sf_dir))
     image = cleaners.clean_brand_image(s.brand_images(rows), s.FOCAL)
     health = s.brandhealth(rows).withColumnsRenamed(
         {"Fre#visit": "Frequency_Visit", "NPS#P3M": "NPS_P3M"}
@@ -162,7 +165,7 @@ lookup_fill_last_wins_sql = f"""{_HEALTH_WITH}, {s.BRAND_IMAGES_SQL}, {_FILLED_S
 
 def clean_brandhealth(spark, sf_dir):
     """The whole brand-health cleaner: fills, spending rules, segments, scores, winsorizing."""
-    rows = s.lines(spark, sf_dir)
+    rows = materialize(s.lines(spark, sf_dir))
     image = cleaners.clean_brand_image(s.brand_images(rows), s.FOCAL)
     return rounded(cleaners.clean_brandhealth(s.brandhealth(rows), s.FOCAL, image, s.IMAGE_ORDER))
 
@@ -313,8 +316,6 @@ FROM (SELECT *, CAST(coalesce(nullif(floor(l_quantity / 5), 10.0), CASE WHEN p_b
 
 def segment_rule_check(spark, sf_dir):
     """Customers whose spending segment disagrees with the band of their spending per visit."""
-    from segspark.operators.describe import segment_rule_mismatches
-
     rows = s.spending(spark, sf_dir).withColumn("Segmentation", c.spend_segment(F.col("Spending") / 30))
     bad = segment_rule_mismatches(rows.withColumn("PPA", F.col("PPA") / 2500), bounds=(25, 60, 100))
     return rounded(bad.select("ID", "Segmentation", "PPA"), 9)
@@ -458,8 +459,6 @@ ENCODE_SPEC = FeatureSpec(
 
 def encode_all(spark, sf_dir):
     """The whole encoder on the integrated, featured table, in long form."""
-    from segspark.session import materialize
-
     rows = materialize(build_features(merged(spark, sf_dir), BRANDS, s.NEED_TEXT))
     model = FeatureEncoder(ENCODE_SPEC).fit(rows)
     return _long(model.transform(rows, ["ID"]), "ID")
