@@ -145,6 +145,23 @@ def mutual_reachability_mst_weight(spark, sf_dir):
     return rounded(dn.spanning_tree_weight(vectors(spark, sf_dir), "x", "vec_id", MIN_SAMPLES), 4)
 
 
+# A tree grown vertex by vertex; visited vertices are null in the list of best edges.
+_MST_SQL = f"""WITH RECURSIVE {VECTORS_SQL},
+i AS (SELECT x, row_number() OVER (ORDER BY vec_id) AS i FROM v),
+d AS MATERIALIZED (SELECT a.i, b.i AS j, list_distance(a.x, b.x) AS d FROM i a JOIN i b ON a.i <> b.i),
+c AS (SELECT i, d AS core FROM (SELECT i, d, row_number() OVER (PARTITION BY i ORDER BY d) AS rn FROM d) WHERE rn = {MIN_SAMPLES}),
+m AS MATERIALIZED (SELECT i, list(w ORDER BY j) AS row FROM (
+  SELECT i, j, greatest(d, p.core, q.core) AS w FROM d JOIN c p USING (i) JOIN c q ON q.i = d.j
+  UNION ALL SELECT i, i, NULL FROM i) GROUP BY i),
+grow(step, total, best) AS (
+  SELECT 0, 0.0::DOUBLE, row FROM m WHERE i = 1
+  UNION ALL
+  SELECT step + 1, total + low, list_transform(best, lambda b, k: CASE WHEN b IS NULL OR k = pos THEN NULL ELSE least(b, m.row[k]) END)
+  FROM (SELECT step, total, best, list_min(best) AS low, list_position(best, list_min(best)) AS pos FROM grow) g JOIN m ON m.i = g.pos
+  WHERE low IS NOT NULL)
+SELECT step::BIGINT AS n_edges, round(total, 4) + 0.0 AS weight FROM grow ORDER BY step DESC LIMIT 1"""
+
+
 def hdbscan_fit(spark, sf_dir):
     return dn.hdbscan(vectors(spark, sf_dir), "x", "vec_id", min_cluster_size=5, min_samples=2)
 
@@ -233,6 +250,61 @@ SELECT j::INTEGER AS component, d::INTEGER AS d, {sql_round("n / (SELECT count(*
   {sql_round(pool, "var")} FROM n0"""
 
 
+# The shared covariance is inverted by Gauss-Jordan elimination; its determinant cancels.
+_TIED_SQL = f"""WITH RECURSIVE {VECTORS_SQL},
+u AS MATERIALIZED (SELECT vec_id, label AS l, unnest(x) AS e, unnest(range(0, 64)) AS d FROM v),
+n AS (SELECT count(*)::DOUBLE AS n FROM v),
+mu AS MATERIALIZED (SELECT l AS j, d, avg(e) AS m, count(*)::DOUBLE AS c FROM u GROUP BY 1, 2),
+xx AS (SELECT a.d AS p, b.d AS q, sum((a.e - ma.m) * (b.e - mb.m)) / (SELECT n FROM n) + CASE WHEN a.d = b.d THEN 1e-6 ELSE 0 END AS s
+  FROM u a JOIN u b USING (vec_id) JOIN mu ma ON ma.j = a.l AND ma.d = a.d JOIN mu mb ON mb.j = b.l AND mb.d = b.d GROUP BY 1, 2),
+wide AS (SELECT list(row ORDER BY p) AS mat FROM (SELECT p, list_concat(list(s ORDER BY q),
+  list_transform(range(0, 64), lambda i: CASE WHEN i = p THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)) AS row FROM xx GROUP BY p)),
+gauss(k, mat) AS (
+  SELECT 0, mat FROM wide
+  UNION ALL
+  SELECT k + 1, list_transform(mat, lambda r, i: CASE WHEN i = k + 1 THEN piv
+    ELSE list_transform(r, lambda y, c: y - r[k + 1] * piv[c]) END)
+  FROM (SELECT k, mat, list_transform(mat[k + 1], lambda y: y / mat[k + 1][k + 1]) AS piv FROM gauss WHERE k < 64)),
+inv AS MATERIALIZED (SELECT p, mat[p + 1][65:128] AS row FROM gauss, range(64) t(p) WHERE k = 64),
+qj AS MATERIALIZED (SELECT j, p AS d, list_dot_product(ml, row) AS q FROM (SELECT j, list(m ORDER BY d) AS ml FROM mu GROUP BY j), inv),
+lj AS (SELECT vec_id, j, ln(min(c) / (SELECT n FROM n)) + sum(e * q) - 0.5 * sum(m * q) AS lp
+  FROM u JOIN qj USING (d) JOIN mu USING (j, d) GROUP BY 1, 2),
+mx AS (SELECT vec_id, j, exp(lp - max(lp) OVER (PARTITION BY vec_id)) AS q FROM lj),
+r AS MATERIALIZED (SELECT vec_id, j, q / sum(q) OVER (PARTITION BY vec_id) AS r FROM mx),
+n0 AS MATERIALIZED (SELECT j, d, sum(r) AS n, sum(r * e) / sum(r) AS m FROM r JOIN u USING (vec_id) GROUP BY 1, 2),
+va AS (SELECT d, (sq - nm) / (SELECT n FROM n) + 1e-6 AS s FROM (SELECT d, sum(e * e) AS sq FROM u GROUP BY 1)
+  JOIN (SELECT d, sum(n * m * m) AS nm FROM n0 GROUP BY 1) USING (d))
+SELECT j::INTEGER AS component, d::INTEGER AS d, {sql_round("n / (SELECT n FROM n)", "weight")}, {sql_round("m", "mean")}, {sql_round("s", "var")}
+FROM n0 JOIN va USING (d)"""
+
+
+# One covariance per component: ten matrices are eliminated side by side.
+_FULL_SQL = f"""WITH RECURSIVE {VECTORS_SQL},
+u AS MATERIALIZED (SELECT vec_id, label AS l, unnest(x) AS e, unnest(range(0, 64)) AS d FROM v),
+n AS (SELECT count(*)::DOUBLE AS n FROM v),
+mu AS MATERIALIZED (SELECT l AS j, d, avg(e) AS m, count(*)::DOUBLE AS c FROM u GROUP BY 1, 2),
+ce AS MATERIALIZED (SELECT vec_id, l AS j, u.d, e - m AS e FROM u JOIN mu ON mu.j = u.l AND mu.d = u.d),
+xx AS (SELECT j, a.d AS p, b.d AS q, avg(a.e * b.e) + CASE WHEN a.d = b.d THEN 1e-6 ELSE 0 END AS s
+  FROM ce a JOIN ce b USING (vec_id, j) GROUP BY 1, 2, 3),
+wide AS (SELECT j, list(row ORDER BY p) AS mat FROM (SELECT j, p, list_concat(list(s ORDER BY q),
+  list_transform(range(0, 64), lambda i: CASE WHEN i = p THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)) AS row FROM xx GROUP BY j, p) GROUP BY j),
+gauss(j, k, mat, ld) AS (
+  SELECT j, 0, mat, 0.0::DOUBLE FROM wide
+  UNION ALL
+  SELECT j, k + 1, list_transform(mat, lambda r, i: CASE WHEN i = k + 1 THEN piv
+    ELSE list_transform(r, lambda y, c: y - r[k + 1] * piv[c]) END), ld + ln(mat[k + 1][k + 1])
+  FROM (SELECT j, k, mat, ld, list_transform(mat[k + 1], lambda y: y / mat[k + 1][k + 1]) AS piv FROM gauss WHERE k < 64)),
+inv AS MATERIALIZED (SELECT j, p, ld, mat[p + 1][65:128] AS row FROM gauss, range(64) t(p) WHERE k = 64),
+gap AS MATERIALIZED (SELECT vec_id, j, list(e - m ORDER BY d) AS g, min(c) AS c FROM u JOIN mu USING (d) GROUP BY 1, 2),
+lj AS (SELECT vec_id, j, ln(min(c) / (SELECT n FROM n)) - 0.5 * (min(ld) + sum(g[p + 1] * list_dot_product(row, g))) AS lp
+  FROM gap JOIN inv USING (j) GROUP BY 1, 2),
+mx AS (SELECT vec_id, j, exp(lp - max(lp) OVER (PARTITION BY vec_id)) AS q FROM lj),
+r AS MATERIALIZED (SELECT vec_id, j, q / sum(q) OVER (PARTITION BY vec_id) AS r FROM mx)
+SELECT j::INTEGER AS component, d::INTEGER AS d, {sql_round("sum(r) / (SELECT n FROM n)", "weight")}, {sql_round("sum(r * e) / sum(r)", "mean")},
+  {sql_round("sum(r * e * e) / sum(r) - pow(sum(r * e) / sum(r), 2) + 1e-6", "var")}
+FROM r JOIN u USING (vec_id) GROUP BY j, d"""
+
+
 def customer_features(spark, sf_dir):
     """Behaviour of every customer, logged and standardized, as one array."""
     orders = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(
@@ -260,7 +332,37 @@ def gmm_fit_full(spark, sf_dir):
 def pca_2d(spark, sf_dir):
     rows = customer_features(spark, sf_dir)
     out, shares = ce.principal_axes(rows, "features", "c_custkey")
-    return rounded(out.withColumn("explained", F.lit(sum(shares))))
+    return rounded(out.withColumn("explained", F.lit(sum(shares))), 5)
+
+
+def _power_sql(name, matrix, steps):
+    """Largest eigenvector of a symmetric matrix by repeated multiplication."""
+    return f"""{name}_w(k, v) AS (SELECT 0, [1.0, 0.9, 0.8, 0.7, 0.6]::DOUBLE[] UNION ALL
+  SELECT k + 1, list_transform(y, lambda e: e / sqrt(list_dot_product(y, y)))
+  FROM (SELECT k, list_transform(c, lambda r: list_dot_product(r, v)) AS y FROM {name}_w, {matrix} WHERE k < {steps})),
+{name} AS (SELECT v, list_dot_product(v, list_transform(c, lambda r: list_dot_product(r, v))) AS l
+  FROM {name}_w, {matrix} WHERE k = {steps})"""
+
+
+def _signed(v):
+    return f"sign({v}[list_position(list_transform({v}, lambda e: abs(e)), list_max(list_transform({v}, lambda e: abs(e))))])"
+
+
+pca_2d_sql = f"""WITH RECURSIVE o AS (SELECT o_custkey, count(*) AS n, round(sum(o_totalprice), 2) AS s,
+  count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS g FROM orders GROUP BY 1),
+f AS (SELECT c_custkey, unnest([ln(1 + n), ln(1 + s), ln(1 + s / n), g, c_acctbal]::DOUBLE[]) AS e, unnest(range(1, 6)) AS d
+  FROM customer JOIN o ON c_custkey = o_custkey),
+st AS (SELECT d, avg(e) AS m, stddev_pop(e) AS sd FROM f GROUP BY d),
+z AS MATERIALIZED (SELECT c_custkey, d, (e - m) / sd AS z FROM f JOIN st USING (d)),
+cm AS MATERIALIZED (SELECT list(r ORDER BY p) AS c FROM (SELECT p, list(s ORDER BY q) AS r FROM (
+  SELECT a.d AS p, b.d AS q, avg(a.z * b.z) AS s FROM z a JOIN z b USING (c_custkey) GROUP BY 1, 2) GROUP BY p)),
+{_power_sql("a", "cm", 200)},
+cn AS MATERIALIZED (SELECT list_transform(c, lambda r, i: list_transform(r, lambda e, j: e - l * v[i] * v[j])) AS c FROM cm, a),
+{_power_sql("b", "cn", 800)},
+sg AS (SELECT list_transform(a.v, lambda e: e * {_signed("a.v")}) AS v, list_transform(b.v, lambda e: e * {_signed("b.v")}) AS w,
+  (a.l + b.l) / 5 AS share FROM a, b)
+SELECT c_custkey, {sql_round("sum(z * v[d])", "pc1", 5)}, {sql_round("sum(z * w[d])", "pc2", 5)}, {sql_round("min(share)", "explained", 5)}
+FROM z, sg GROUP BY c_custkey"""
 
 
 def customer_segments(spark, sf_dir):
@@ -347,10 +449,11 @@ QUERIES = {
     "kmeans_one_step": (kmeans_one_step, kmeans_one_step_sql),
     "gmm_one_em_step_diag": (_em_step("diag"), _em_sql(False)),
     "gmm_one_em_step_spherical": (_em_step("spherical"), _em_sql(True)),
-    "gmm_one_em_step_tied": (_em_step("tied"), None),
+    "gmm_one_em_step_full": (_em_step("full"), _FULL_SQL),
+    "gmm_one_em_step_tied": (_em_step("tied"), _TIED_SQL),
     "kmeans_fit": (kmeans_fit, None),
     "gmm_fit_full": (gmm_fit_full, None),
-    "pca_2d": (pca_2d, None),
+    "pca_2d": (pca_2d, pca_2d_sql),
     "composite_rank": (composite_rank, composite_rank_sql),
     "best_per_metric": (best_per_metric, best_per_metric_sql),
     "grid_search_kmeans": (grid_search_kmeans, None),
@@ -359,7 +462,7 @@ QUERIES = {
     "dbscan_euclidean": (dbscan_euclidean, _dbscan_sql("list_distance(a.x, b.x)", EPS)),
     "dbscan_manhattan": (dbscan_manhattan, _dbscan_sql(_MANHATTAN, EPS_MANHATTAN)),
     "knn_core_distance": (knn_core_distance, knn_core_distance_sql),
-    "mutual_reachability_mst_weight": (mutual_reachability_mst_weight, None),
+    "mutual_reachability_mst_weight": (mutual_reachability_mst_weight, _MST_SQL),
     "hdbscan_fit": (hdbscan_fit, None),
     "calinski_harabasz": (calinski_harabasz, calinski_harabasz_sql),
     "davies_bouldin": (davies_bouldin, davies_bouldin_sql),

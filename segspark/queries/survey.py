@@ -198,6 +198,55 @@ SELECT "ID", "City", "Year", "Brand", "Awareness", "Spontaneous", "Trial", "P3M"
 FROM scored, b"""
 
 
+# ---- the other cleaners ------------------------------------------------------
+
+def clean_demographics(spark, sf_dir):
+    return rounded(cleaners.clean_demographics(s.demographics(s.lines(spark, sf_dir))))
+
+
+clean_demographics_sql = f"""WITH {s.LINES_SQL}, {s.DEMOGRAPHICS_SQL}
+SELECT "ID", "City", "Year", "TOM", "BUMO", "MostFavourite", coalesce("BUMO_Previous", 'Unknown') AS "BUMO_Previous",
+  "Age_Group_2", "Occupation", {sql_round('"Group_size"', "Group_size")}, {sql_round('"Age"', "Age")},
+  coalesce("MPI_detail", {_INCOME}, 'Unknown') AS "IncomeBand" FROM sa_var"""
+
+
+def clean_needstates(spark, sf_dir):
+    """Distinct need states per respondent; types spelled with white space around them."""
+    rows = s.needstates(s.lines(spark, sf_dir)).drop("_day", "_order", "_line")
+    padded = rows.withColumn("Needstates", F.concat(F.lit("\t"), "Needstates", F.lit(" ")))
+    return cleaners.clean_needstates(padded)
+
+
+clean_needstates_sql = f"""WITH {s.LINES_SQL}, {s.NEEDSTATES_SQL}
+SELECT DISTINCT "ID", "City", "Year", "Needstates", "Daypart", "NeedstateGroup" FROM needstate WHERE length("ID") <= 20"""
+
+
+def clean_brand_image(spark, sf_dir):
+    rows = s.brand_images(s.lines(spark, sf_dir)).drop("_day", "_order", "_line")
+    return cleaners.clean_brand_image(rows, s.FOCAL)
+
+
+clean_brand_image_sql = f"""WITH {s.LINES_SQL} SELECT "ID", "City", "Year", coalesce(a, '{s.FOCAL}') AS "Awareness",
+  p_type AS "Attribute", brand AS "BrandImage" FROM (
+  SELECT DISTINCT "ID", "City", "Year", CASE WHEN l_linestatus = 'F' THEN brand END AS a, p_type, brand
+  FROM lines WHERE l_returnflag = 'A')"""
+
+
+def clean_segmentation(spark, sf_dir):
+    """First order of each customer as a segmentation row."""
+    rows = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("ID"), F.concat(F.lit(" "), "o_orderpriority").alias("Segmentation"),
+        F.when(F.col("o_orderstatus") == "P", "Indepentdent Cafe").otherwise(F.col("o_orderstatus")).alias("Brand"),
+        "o_totalprice", "o_orderdate", "o_orderkey",
+    )
+    return cleaners.clean_segmentation(rows, ["o_orderdate", "o_orderkey"])
+
+
+clean_segmentation_sql = """SELECT CAST(o_custkey AS VARCHAR) AS "ID", o_orderpriority AS "Segmentation",
+  CASE WHEN o_orderstatus = 'P' THEN 'Independent Cafe' ELSE o_orderstatus END AS "Brand", o_totalprice, o_orderdate, o_orderkey
+FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn FROM orders) WHERE rn = 1"""
+
+
 # ---- deduplication, text, filters -------------------------------------------
 
 def dedup_keep_first(spark, sf_dir):
@@ -489,6 +538,10 @@ QUERIES = {
     "median_zero_fill": (median_zero_fill, median_zero_fill_sql),
     "lookup_fill_last_wins": (lookup_fill_last_wins, lookup_fill_last_wins_sql),
     "clean_brandhealth": (clean_brandhealth, clean_brandhealth_sql),
+    "clean_demographics": (clean_demographics, clean_demographics_sql),
+    "clean_needstates": (clean_needstates, clean_needstates_sql),
+    "clean_brand_image": (clean_brand_image, clean_brand_image_sql),
+    "clean_segmentation": (clean_segmentation, clean_segmentation_sql),
     "dedup_keep_first": (dedup_keep_first, dedup_keep_first_sql),
     "dedup_rows": (dedup_rows, dedup_rows_sql),
     "text_normalise": (text_normalise, text_normalise_sql),
