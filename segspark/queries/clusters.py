@@ -162,8 +162,59 @@ grow(step, total, best) AS (
 SELECT step::BIGINT AS n_edges, round(total, 4) + 0.0 AS weight FROM grow ORDER BY step DESC LIMIT 1"""
 
 
+# With one sample the core distance is that of the nearest neighbour, reachability is
+# the distance itself, and no two edges tie: the hierarchy is unique.
+LEAST = 3
+
+
 def hdbscan_fit(spark, sf_dir):
-    return dn.hdbscan(vectors(spark, sf_dir), "x", "vec_id", min_cluster_size=5, min_samples=2)
+    return dn.hdbscan(vectors(spark, sf_dir), "x", "vec_id", min_cluster_size=LEAST, min_samples=1)
+
+
+# Grow the tree, merge its edges in order, then keep the topmost selected clusters.
+_HDBSCAN_SQL = f"""WITH RECURSIVE {VECTORS_SQL},
+i AS MATERIALIZED (SELECT vec_id, x, row_number() OVER (ORDER BY vec_id)::INTEGER AS i FROM v),
+m AS MATERIALIZED (SELECT i, list(w ORDER BY j) AS row FROM (
+  SELECT a.i, b.i AS j, CASE WHEN a.i <> b.i THEN list_distance(a.x, b.x) END AS w FROM i a, i b) GROUP BY i),
+grow(step, best, src, u, v, w) AS (
+  SELECT 0, row, list_transform(row, lambda r: 1), 0, 0, 0.0::DOUBLE FROM m WHERE i = 1
+  UNION ALL
+  SELECT step + 1, list_transform(best, lambda b, k: CASE WHEN b IS NULL OR k = pos THEN NULL ELSE least(b, m.row[k]) END),
+    list_transform(src, lambda s, k: CASE WHEN m.row[k] < best[k] THEN pos ELSE s END), src[pos], pos, low
+  FROM (SELECT *, list_min(best) AS low, list_position(best, list_min(best)) AS pos FROM grow) g JOIN m ON m.i = g.pos
+  WHERE low IS NOT NULL),
+e AS MATERIALIZED (SELECT u, v, w, row_number() OVER (ORDER BY w)::INTEGER AS e FROM grow WHERE step > 0),
+z AS (SELECT max(i) AS n FROM i),
+mg(e, comp, born, cl, sz, mass, inr, ca, cb, sela, selb) AS (
+  SELECT 0, list_transform(range(1, n + 1), lambda k: k::INTEGER), list_transform(range(n), lambda k: NULL::INTEGER),
+    list_transform(range(n), lambda k: NULL::INTEGER), list_transform(range(n), lambda k: 1),
+    list_transform(range(n), lambda k: 0.0::DOUBLE), list_transform(range(n), lambda k: 0.0::DOUBLE),
+    NULL::INTEGER, NULL::INTEGER, false, false FROM z
+  UNION ALL
+  SELECT e, comp2, list_transform(born, lambda x, k: coalesce(x, CASE WHEN comp2[k] = a THEN cln END)),
+    list_transform(cl, lambda x, k: CASE WHEN k = a THEN cln ELSE x END),
+    list_transform(sz, lambda x, k: CASE WHEN k = a THEN tot ELSE x END),
+    list_transform(mass, lambda x, k: CASE WHEN k = a THEN CASE WHEN ka IS NOT NULL AND kb IS NULL THEN mass[a] + sb * den
+      WHEN kb IS NOT NULL AND ka IS NULL THEN mass[b] + sa * den WHEN cln IS NOT NULL THEN tot * den ELSE 0 END ELSE x END),
+    list_transform(inr, lambda x, k: CASE WHEN k = a THEN CASE WHEN ka IS NOT NULL AND kb IS NOT NULL
+      THEN greatest(sta, inr[a]) + greatest(stb, inr[b]) WHEN ka IS NOT NULL THEN inr[a] WHEN kb IS NOT NULL THEN inr[b] ELSE 0 END ELSE x END),
+    CASE WHEN kb IS NOT NULL THEN ka END, CASE WHEN ka IS NOT NULL THEN kb END, sta >= inr[a], stb >= inr[b]
+  FROM (SELECT *, list_transform(comp, lambda c: CASE WHEN c = b THEN a ELSE c END) AS comp2,
+      mass[a] - den * sa AS sta, mass[b] - den * sb AS stb,
+      CASE WHEN ka IS NOT NULL AND kb IS NOT NULL THEN e WHEN ka IS NOT NULL THEN ka WHEN kb IS NOT NULL THEN kb
+        WHEN tot >= {LEAST} THEN e END AS cln
+    FROM (SELECT e.e, comp, born, cl, sz, mass, inr, 1 / e.w AS den, comp[e.u] AS a, comp[e.v] AS b,
+        cl[comp[e.u]] AS ka, cl[comp[e.v]] AS kb, sz[comp[e.u]] AS sa, sz[comp[e.v]] AS sb,
+        sz[comp[e.u]] + sz[comp[e.v]] AS tot
+      FROM mg JOIN e ON e.e = mg.e + 1))),
+cs AS MATERIALIZED (SELECT ca AS c, e AS up, sela AS sel FROM mg WHERE ca IS NOT NULL AND cb IS NOT NULL
+  UNION ALL SELECT cb, e, selb FROM mg WHERE ca IS NOT NULL AND cb IS NOT NULL),
+top(c, t) AS (SELECT DISTINCT up, NULL::INTEGER FROM cs WHERE up NOT IN (SELECT c FROM cs)
+  UNION ALL SELECT cs.c, coalesce(top.t, CASE WHEN sel THEN cs.c END) FROM top JOIN cs ON cs.up = top.c),
+pt AS (SELECT unnest(born) AS c, unnest(range(1, len(born) + 1)) AS i FROM mg WHERE e = (SELECT n - 1 FROM z)),
+lb AS (SELECT vec_id, t FROM i LEFT JOIN pt USING (i) LEFT JOIN top ON pt.c = top.c),
+nu AS (SELECT t, row_number() OVER (ORDER BY min(vec_id)) - 1 AS k FROM lb WHERE t IS NOT NULL GROUP BY t)
+SELECT vec_id, coalesce(k, -1)::INTEGER AS cluster FROM lb LEFT JOIN nu USING (t)"""
 
 
 # ---- centroid and mixture models ----------------------------------------------------
@@ -463,7 +514,7 @@ QUERIES = {
     "dbscan_manhattan": (dbscan_manhattan, _dbscan_sql(_MANHATTAN, EPS_MANHATTAN)),
     "knn_core_distance": (knn_core_distance, knn_core_distance_sql),
     "mutual_reachability_mst_weight": (mutual_reachability_mst_weight, _MST_SQL),
-    "hdbscan_fit": (hdbscan_fit, None),
+    "hdbscan_fit": (hdbscan_fit, _HDBSCAN_SQL),
     "calinski_harabasz": (calinski_harabasz, calinski_harabasz_sql),
     "davies_bouldin": (davies_bouldin, davies_bouldin_sql),
     "silhouette": (silhouette, silhouette_sql),
