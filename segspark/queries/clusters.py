@@ -370,8 +370,39 @@ def customer_features(spark, sf_dir):
 
 
 def kmeans_fit(spark, sf_dir):
-    rows = customer_features(spark, sf_dir)
-    return ce.fit_kmeans(rows, "features", "c_custkey", k=3, n_init=2).predict(rows, "features", "c_custkey")
+    """Two groups, best of three starts, iterated until nothing moves."""
+    rows = materialize(customer_features(spark, sf_dir))
+    fit = ce.fit_kmeans(rows, "features", "c_custkey", k=2, n_init=3, tol=0.0)
+    return fit.predict(rows, "features", "c_custkey")
+
+
+_CUSTOMER_Z_SQL = """o AS (SELECT o_custkey, count(*) AS n, round(sum(o_totalprice), 2) AS s,
+  count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS g FROM orders GROUP BY 1),
+f AS (SELECT c_custkey, unnest([ln(1 + n), ln(1 + s), ln(1 + s / n), g, c_acctbal]::DOUBLE[]) AS e, unnest(range(1, 6)) AS d
+  FROM customer JOIN o ON c_custkey = o_custkey),
+st AS (SELECT d, avg(e) AS m, stddev_pop(e) AS sd FROM f GROUP BY d)"""
+
+
+def _mean_sql(points):
+    return f"list_transform(range(1, 6), lambda d: list_avg(list_transform({points}, lambda x: x[d])))"
+
+
+# Two starts (split by the sign of a feature); the cheaper fixed point counts.
+_KMEANS_SQL = f"""WITH RECURSIVE {_CUSTOMER_Z_SQL},
+z AS MATERIALIZED (SELECT c_custkey, list((e - m) / sd ORDER BY d) AS x FROM f JOIN st USING (d) GROUP BY 1),
+p AS MATERIALIZED (SELECT list(x ORDER BY c_custkey) AS pts FROM z),
+lloyd(j, k, a, b) AS (
+  SELECT j, 0, {_mean_sql("list_filter(pts, lambda x: x[j] > 0)")}, {_mean_sql("list_filter(pts, lambda x: x[j] <= 0)")}
+  FROM p, (VALUES (1), (3)) t(j)
+  UNION ALL
+  SELECT j, k + 1, {_mean_sql("pa")}, {_mean_sql("pb")}
+  FROM (SELECT j, k, list_filter(pts, lambda x: list_distance(x, a) <= list_distance(x, b)) AS pa,
+      list_filter(pts, lambda x: list_distance(x, a) > list_distance(x, b)) AS pb FROM lloyd, p WHERE k < 100)),
+cost AS (SELECT j, sum(pow(least(list_distance(x, a), list_distance(x, b)), 2)) AS c FROM z, lloyd WHERE k = 100 GROUP BY j),
+l AS (SELECT c_custkey, list_distance(x, a) <= list_distance(x, b) AS near_a FROM z, lloyd
+  WHERE k = 100 AND j = (SELECT arg_min(j, round(c, 6)) FROM cost)),
+big AS (SELECT count(*) FILTER (WHERE near_a) >= count(*) FILTER (WHERE NOT near_a) AS a_first FROM l)
+SELECT c_custkey, CASE WHEN near_a = a_first THEN 0 ELSE 1 END::INTEGER AS cluster FROM l, big"""
 
 
 def gmm_fit_full(spark, sf_dir):
@@ -399,11 +430,7 @@ def _signed(v):
     return f"sign({v}[list_position(list_transform({v}, lambda e: abs(e)), list_max(list_transform({v}, lambda e: abs(e))))])"
 
 
-pca_2d_sql = f"""WITH RECURSIVE o AS (SELECT o_custkey, count(*) AS n, round(sum(o_totalprice), 2) AS s,
-  count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS g FROM orders GROUP BY 1),
-f AS (SELECT c_custkey, unnest([ln(1 + n), ln(1 + s), ln(1 + s / n), g, c_acctbal]::DOUBLE[]) AS e, unnest(range(1, 6)) AS d
-  FROM customer JOIN o ON c_custkey = o_custkey),
-st AS (SELECT d, avg(e) AS m, stddev_pop(e) AS sd FROM f GROUP BY d),
+pca_2d_sql = f"""WITH RECURSIVE {_CUSTOMER_Z_SQL},
 z AS MATERIALIZED (SELECT c_custkey, d, (e - m) / sd AS z FROM f JOIN st USING (d)),
 cm AS MATERIALIZED (SELECT list(r ORDER BY p) AS c FROM (SELECT p, list(s ORDER BY q) AS r FROM (
   SELECT a.d AS p, b.d AS q, avg(a.z * b.z) AS s FROM z a JOIN z b USING (c_custkey) GROUP BY 1, 2) GROUP BY p)),
@@ -502,7 +529,7 @@ QUERIES = {
     "gmm_one_em_step_spherical": (_em_step("spherical"), _em_sql(True)),
     "gmm_one_em_step_full": (_em_step("full"), _FULL_SQL),
     "gmm_one_em_step_tied": (_em_step("tied"), _TIED_SQL),
-    "kmeans_fit": (kmeans_fit, None),
+    "kmeans_fit": (kmeans_fit, _KMEANS_SQL),
     "gmm_fit_full": (gmm_fit_full, None),
     "pca_2d": (pca_2d, pca_2d_sql),
     "composite_rank": (composite_rank, composite_rank_sql),
