@@ -219,24 +219,22 @@ def kde_curve(df: DataFrame, column: str, points: int = 200) -> DataFrame:
     One aggregate per grid point in a single pass: rows are never multiplied by the grid.
     """
     x = F.col(column).cast("double")
-    stats = row_scalar(
-        df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.stddev_samp(x).alias("sd"), F.count(x).alias("n"))
+    one_row = df.agg(
+        F.min(x).alias("lo"), F.max(x).alias("hi"), F.stddev_samp(x).alias("sd"), F.count(x).alias("n")
     )
-    lo, hi = F.col("_s.lo"), F.col("_s.hi")
-    h = F.col("_s.sd") * F.pow(F.col("_s.n"), F.lit(-0.2))
-    grid = [lo + (hi - lo) * (i / (points - 1)) for i in range(points)]
-    scaled = 1 / (h * math.sqrt(2 * math.pi))
-    one_row = df.select(x.alias("x")).withColumn("_s", stats).agg(
-        *[
-            F.struct(
-                F.first(g).alias("x"),
-                F.avg(F.exp(-0.5 * F.pow((g - F.col("x")) / h, 2)) * scaled).alias("density"),
-            ).alias(str(i))
-            for i, g in enumerate(grid)
-        ]
+    h = F.col("sd") * F.pow(F.col("n"), F.lit(-0.2))
+    stats = row_scalar(one_row.select("lo", ((F.col("hi") - F.col("lo")) / (points - 1)).alias("step"), h.alias("h")))
+    # In units of the bandwidth the grid needs one subtraction per row and point.
+    scaled = df.select(x.alias("x")).withColumn("_s", stats).select(
+        ((F.col("x") - F.col("_s.lo")) / F.col("_s.h")).alias("u"), (F.col("_s.step") / F.col("_s.h")).alias("du")
+    )
+    z = [F.col("u") - F.col("du") * i for i in range(points)]
+    sums = scaled.agg(*[F.avg(F.exp(v * v * -0.5)).alias(str(i)) for i, v in enumerate(z)])
+    rows = F.array(*[F.struct(F.lit(i).alias("point"), F.col(str(i)).alias("k")) for i in range(points)])
+    return sums.select(F.explode(rows).alias("e")).select("e.*").withColumn("_s", stats).select(
+        "point", (F.col("_s.lo") + F.col("_s.step") * F.col("point")).alias("x"),
+        (F.col("k") / (F.col("_s.h") * math.sqrt(2 * math.pi))).alias("density"),
     )
-    rows = F.array(*[F.struct(F.lit(i).alias("point"), F.col(str(i)).alias("s")) for i in range(points)])
-    return one_row.select(F.explode(rows).alias("e")).select("e.point", "e.s.*")
 
 
 def normal_fit(df: DataFrame, columns: Sequence[str], points: int = 100, log: bool = True) -> DataFrame:

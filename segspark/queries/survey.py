@@ -135,7 +135,9 @@ _VISITED_SQL = f"""visited AS (
 
 
 def median_zero_fill(spark, sf_dir):
-    filled = cleaners.fill_visits(cleaners.fill_funnel(_health(spark, sf_dir), s.FOCAL), s.FOCAL)
+    """Visits filled with the median or zero; the table is read for the median and for the fill."""
+    health = materialize(_health(spark, sf_dir))
+    filled = cleaners.fill_visits(cleaners.fill_funnel(health, s.FOCAL), s.FOCAL)
     return filled.select(*_HEALTH_KEY, "Frequency_Visit")
 
 
@@ -154,7 +156,8 @@ def lookup_fill_last_wins(spark, sf_dir):
     """Likability gaps from own brand, then from the last brand image of the respondent."""
     rows = s.lines(spark, sf_dir)
     image = cleaners.clean_brand_image(s.brand_images(rows), s.FOCAL)
-    filled = cleaners.fill_visits(cleaners.fill_funnel(_health(spark, sf_dir), s.FOCAL), s.FOCAL)
+    health = materialize(_health(spark, sf_dir))
+    filled = cleaners.fill_visits(cleaners.fill_funnel(health, s.FOCAL), s.FOCAL)
     out = cleaners.fill_likability(filled, image, s.IMAGE_ORDER)
     return out.select(*_HEALTH_KEY, "Brand_Likability")
 

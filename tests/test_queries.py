@@ -15,8 +15,12 @@ def con():
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_query(spark, con, name):
+def test_query(spark, con, capsys, name):
+    """Equal to the SQL, and planned without a product of two tables."""
     df = QUERIES[name](spark, SF)
+    df.explain()
+    plan = capsys.readouterr().out
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     if name in SQL:
         assert compare(df, con, SQL[name]) is None
     else:
