@@ -14,6 +14,7 @@ from segspark.functions.columns import any_of, holds, log1p_clamped
 from segspark.operators.quantiles import exact_quantiles
 from segspark.operators.scaling import row_scalar
 from segspark.operators.tables import melted
+from segspark.session import materialize
 
 
 def _structs_to_rows(one_row: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -117,7 +118,8 @@ def crosstab(df: DataFrame, a: str, b: str) -> DataFrame:
 def cramers_v(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Cramer's V of every column pair, with the continuity correction on 2 x 2 tables.
 
-    All pairs are counted in one pass; empty cells need no rows because
+    All pairs are counted in one pass over the table, and the counts are written:
+    the margins read those. Empty cells need no rows because
     sum (O - E)^2 / E = sum O^2 / E - n.
     """
     pairs = list(itertools.combinations_with_replacement(columns, 2))
@@ -134,7 +136,7 @@ def cramers_v(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             )
         ).alias("p")
     ).select("p.*").where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    cells = long.groupBy("a", "b", "x", "y").agg(F.count("*").cast("double").alias("o"))
+    cells = materialize(long.groupBy("a", "b", "x", "y").agg(F.count("*").cast("double").alias("o")))
     rows = cells.groupBy("a", "b", "x").agg(F.sum("o").alias("row_n"))
     cols = cells.groupBy("a", "b", "y").agg(F.sum("o").alias("col_n"))
     row_side = rows.groupBy("a", "b").agg(
@@ -158,11 +160,12 @@ def cramers_v(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.greatest(F.col("share") * n - n, F.lit(0.0))
     )
     v = F.when(smaller == 0, 0.0).otherwise(F.sqrt(F.try_divide(chi2 / n, smaller)))
-    table = chi.join(row_side, ["a", "b"]).join(col_side, ["a", "b"]).select("a", "b", v.alias("v"))
-    mirrored = table.where(F.col("a") != F.col("b")).select(
-        F.col("b").alias("a"), F.col("a").alias("b"), "v"
-    )
-    return table.unionByName(mirrored)
+    pair = F.struct(F.col("a"), F.col("b"))
+    mirror = F.struct(F.col("b").alias("a"), F.col("a").alias("b"))
+    both = F.when(F.col("a") == F.col("b"), F.array(pair)).otherwise(F.array(pair, mirror))
+    return chi.join(row_side, ["a", "b"]).join(col_side, ["a", "b"]).select(
+        F.explode(both).alias("p"), v.alias("v")
+    ).select("p.*", "v")
 
 
 def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:

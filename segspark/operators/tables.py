@@ -75,23 +75,26 @@ def fill_median_or_zero(target, evidence: Sequence, value: str, median: Column)
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence) -> DataFrame:
-    """One row per key: the first in the given order.
+    """One row per key: the first in the given order, ties settled by the other columns.
 
     An aggregate, not a window: each map task already reduces its rows to one
     per key, so a key that holds a third of the table costs one row per task.
     """
-    return _one_per_key(df, keys, F.min_by, order)
+    return _one_per_key(df, keys, F.min, order)
 
 
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence) -> DataFrame:
-    return _one_per_key(df, keys, F.max_by, order)
+    return _one_per_key(df, keys, F.max, order)
 
 
 def _one_per_key(df, keys, pick, order):
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.select(*keys).distinct()
-    row = pick(F.struct(*rest), F.struct(*order)).alias("_row")
+    # Structs compare field by field: the order columns lead, the others follow.
+    named = [o for o in order if isinstance(o, str) and o in rest]
+    by = [o if o in named else as_column(o).alias(f"_by{i}") for i, o in enumerate(order)]
+    row = pick(F.struct(*by, *[c for c in rest if c not in named])).alias("_row")
     return df.groupBy(*keys).agg(row).select(*keys, "_row.*").select(*df.columns)
 
 

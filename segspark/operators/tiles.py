@@ -24,7 +24,8 @@ from pyspark.sql import types as T
 
 from segspark.session import materialize
 
-MOST_ROWS = 8192
+# A block pair needs a few matrices of MOST_ROWS x MOST_ROWS doubles (128 MB each).
+MOST_ROWS = 4096
 LEAST_ROWS = 128
 
 
