@@ -63,30 +63,41 @@ def clean_needstates(df: DataFrame) -> DataFrame:
 
 
 def fill_funnel(df: DataFrame, focal: str) -> DataFrame:
-    """Gaps in the funnel answers, filled from later stages; all sides read the answers as given."""
+    """Gaps in the funnel answers, filled from later stages; all sides read the answers as given.
+    Answers a table does not have are left out."""
     unknown = fixed.UNKNOWN
-    spontaneous = t.first_known("Spontaneous", "Awareness")
-    evidence = ["P3M", "P1M", spontaneous, "Brand_Likability", "Weekly", "Daily"]
-    knows = F.when(c.holds(F.col("Awareness") == focal), "Know a little").otherwise(unknown)
-    return df.withColumns(
-        {
-            "Spontaneous": t.first_known("Spontaneous", "Awareness", default=unknown),
-            "Trial": t.fill_if_all("Trial", evidence, focal, unknown),
-            "P3M": t.first_known("P3M", "P1M", "Daily", "Weekly", default=unknown),
-            "P1M": t.first_known("P1M", "Daily", "Weekly", default=unknown),
-            "Comprehension": F.coalesce("Comprehension", knows),
-        }
-    )
+
+    def present(*names):
+        return [n for n in names if n in df.columns]
+
+    filled = {}
+    evidence = present("P3M", "P1M", "Brand_Likability", "Weekly", "Daily")
+    if len(present("Spontaneous", "Awareness")) == 2:
+        filled["Spontaneous"] = t.first_known("Spontaneous", "Awareness", default=unknown)
+        evidence.append(t.first_known("Spontaneous", "Awareness"))
+    if present("Trial"):
+        filled["Trial"] = t.fill_if_all("Trial", evidence, focal, unknown)
+    for stage, sources in (("P3M", ("P1M", "Daily", "Weekly")), ("P1M", ("Daily", "Weekly"))):
+        if present(stage):
+            filled[stage] = t.first_known(stage, *present(*sources), default=unknown)
+    if len(present("Comprehension", "Awareness")) == 2:
+        knows = F.when(c.holds(F.col("Awareness") == focal), "Know a little").otherwise(unknown)
+        filled["Comprehension"] = F.coalesce("Comprehension", knows)
+    return df.withColumns(filled) if filled else df
 
 
 def fill_visits(df: DataFrame, focal: str) -> DataFrame:
     """Gaps in visit frequency: the median where any answer names the focal brand, else zero.
     Call on a table whose funnel answers are filled."""
-    evidence = ["Trial", "P3M", "P1M", "Brand_Likability", "Weekly", "Daily"]
+    if "Frequency_Visit" not in df.columns:
+        return df
+    answers = ("Trial", "P3M", "P1M", "Brand_Likability", "Weekly", "Daily")
     middle: Column = median(df, "Frequency_Visit").scalar()
     return df.withColumn(
         "Frequency_Visit",
-        t.fill_median_or_zero(F.col("Frequency_Visit").cast("double"), evidence, focal, middle),
+        t.fill_median_or_zero(
+            F.col("Frequency_Visit").cast("double"), [x for x in answers if x in df.columns], focal, middle
+        ),
     )
 
 

@@ -98,6 +98,12 @@ def test_trial_needs_all_evidence(spark):
     assert values(cleaners.fill_funnel(df, FOCAL).orderBy("ID"), "Trial") == [(FOCAL,), ("Unknown",), ("T",)]
 
 
+def test_absent_answers_are_left_out(spark):
+    df = spark.createDataFrame([(1, None, FOCAL), (2, None, "x")], "ID int, Trial string, Daily string")
+    out = cleaners.fill_visits(cleaners.fill_funnel(df, FOCAL), FOCAL)
+    assert out.columns == ["ID", "Trial", "Daily"] and values(out.orderBy("ID"), "Trial") == [(FOCAL,), ("Unknown",)]
+
+
 def test_visits_take_the_median_only_with_evidence(spark):
     df = health(
         spark, dict(ID=1, **{"Fre#visit": 2.0}), dict(ID=2, **{"Fre#visit": 5.0}),
@@ -266,3 +272,36 @@ def test_standardized_columns(spark):
     out = standardized(df, ["a", "b"])
     row = out.agg(F.avg("a"), F.stddev_pop("a"), F.max("b"), F.min("b")).first()
     assert row[0] == pytest.approx(0) and row[1] == pytest.approx(1) and row[2] == row[3] == 0
+
+
+def test_raw_tables_to_encoded_features(spark):
+    """The five raw tables through cleaning, integration, features and encoding."""
+    from segspark.operators.encode import FeatureEncoder, FeatureSpec
+
+    key = dict(City="X", Year=2017)
+    raw = {
+        "sa_var": spark.createDataFrame(
+            [(i, "X ", 2017, 2.0, 20.0 + i, FOCAL, "B", FOCAL, None, "20 - 24 y.o.") for i in (1, 2, 3)],
+            "ID long, City string, Year int, Group_size double, Age double, TOM string, BUMO string, "
+            "MostFavourite string, BUMO_Previous string, `Age#Group#2` string",
+        ),
+        "needstate": spark.createDataFrame([(1, "X", 2017, "Drinking tea", "Noon", 1)], "ID long, City string, Year int, Needstates string, `Day#Daypart` string, _n int"),
+        "brandhealth": health(
+            spark, dict(ID=1, Awareness=FOCAL, Trial=FOCAL, Spending=30000.0, PPA=1.0, **{"Fre#visit": 2.0}, **key), dict(ID=2, **key)
+        ),
+        "brand_image": spark.createDataFrame([(1, "X", 2017, None, "at", "Img")], "ID long, City string, Year int, Awareness string, Attribute string, BrandImage string"),
+        "segmentation": spark.createDataFrame([(1, 2, 30.0, 15.0, "B")], "ID long, Visit int, Spending double, PPA double, Brand string"),
+    }
+    clean = cleaners.clean_all(raw, FOCAL, ["Visit"], ["Attribute"])
+    wide = integrate(clean, 2017, {**ORDER, "brandhealth": ["Brand"]})
+    featured = build_features(wide, BrandSpec(FOCAL, [FOCAL])).cache()
+    rows = {r["ID"]: r for r in featured.collect()}
+    assert set(rows) == {"1", "2", "3"}
+    assert rows["1"]["Awareness"] == FOCAL and rows["1"]["Trial_flag"] == 1 and rows["1"]["Need_is_Drinking"] == 1
+    assert rows["2"]["Awareness"] == "Unknown" and rows["3"]["Trial"] == "Unknown" and rows["3"]["Visit"] == -1
+    model = FeatureEncoder(
+        FeatureSpec(log_numeric=["Visit", "PPA"], numeric=["Age", "Funnel_Depth"], categorical=["Needstates"],
+                    ordinal={"Age_Group_2": fixed.AGE_GROUP_ORDER})
+    ).fit(featured)
+    assert model.feature_names() == ["Visit", "PPA", "Age", "Funnel_Depth", "Age_Group_2", "Needstates_Unknown"]
+    assert model.transform(featured, ["ID"]).where("ID = '3'").first()["Needstates_Unknown"] == 1.0
