@@ -10,6 +10,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from segspark.llm.bpe import encode
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, ["n_tokens", "ids_sha256", "decoded_sha256"])
+
+
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segspark.llm.exact_dedup import exact_duplicates
+
+    return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+OP7_SQL = """WITH t AS (
+  SELECT doc_id, length(coalesce(text, '')) AS chars, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
+  FROM documents)
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
+  row_number() OVER w = 1 AS kept, text_sha256
+FROM t WINDOW w AS (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id)"""
+
+
 def op6_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     from segspark.llm.repetition import repetition_statistics
 
@@ -65,5 +88,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 
 
 QUERIES = {
+    "op2_byte_bpe": (op2_byte_bpe, None),
+    "op7_exact_dedup": (op7_exact_dedup, OP7_SQL),
     "op6_repetition": (op6_repetition, OP6_SQL),
 }
