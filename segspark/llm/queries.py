@@ -19,6 +19,14 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, ["n_tokens", "ids_sha256", "decoded_sha256"])
 
 
+def op3_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from segspark.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from segspark.llm.exact_dedup import exact_duplicates
 
@@ -89,6 +97,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 
 QUERIES = {
     "op2_byte_bpe": (op2_byte_bpe, None),
+    "op3_harmonic_packing": (op3_harmonic_packing, None),
     "op7_exact_dedup": (op7_exact_dedup, OP7_SQL),
     "op6_repetition": (op6_repetition, OP6_SQL),
 }
