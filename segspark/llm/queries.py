@@ -33,6 +33,12 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segspark.llm.secret_scan import scan
+
+    return scan(table(spark, sf_dir, "documents"))
+
+
 OP7_SQL = """WITH t AS (
   SELECT doc_id, length(coalesce(text, '')) AS chars, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
   FROM documents)
@@ -99,5 +105,6 @@ QUERIES = {
     "op2_byte_bpe": (op2_byte_bpe, None),
     "op3_harmonic_packing": (op3_harmonic_packing, None),
     "op7_exact_dedup": (op7_exact_dedup, OP7_SQL),
+    "op8_secret_scan": (op8_secret_scan, None),
     "op6_repetition": (op6_repetition, OP6_SQL),
 }
