@@ -10,6 +10,65 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# The rules of the stated query.
+URL_RULES = {"org/": "allow", "example.org/es/": "block", "example.org/en/1": "block", "com/fr/": "allow", "com/de/": "block"}
+
+
+def op1_url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segspark.llm.url_trust import judge_pages
+
+    return judge_pages(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def _op1_sql() -> str:
+    from segspark.llm.url_trust import DAMPING, LEAST, LINK, ROUNDS
+
+    link = LINK.replace("'", "''")
+    by_length = sorted(sorted(URL_RULES), key=len, reverse=True)
+    fits = " ".join(
+        f"WHEN (host = '{on}' OR ends_with(host, '.{on}')) AND starts_with(path, '/{rest}') THEN '{rule}'"
+        for rule in by_length
+        for on, _, rest in [rule.partition("/")]
+    )
+    verdicts = " ".join(f"WHEN '{r}' THEN '{v}'" for r, v in URL_RULES.items())
+    lower = lambda x: f"translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    rounds = ", ".join(
+        f"""flow{i} AS MATERIALIZED (
+        SELECT host, sum(t) AS t, sum(d) AS d FROM (
+          SELECT dst AS host, t * o * {DAMPING} AS t, 0.0 AS d FROM edges JOIN flow{i - 1} f ON f.host = src
+          UNION ALL SELECT src, 0.0, d * b * {DAMPING} FROM edges JOIN flow{i - 1} f ON f.host = dst) GROUP BY host)"""
+        for i in range(1, ROUNDS + 1)
+    )
+    flows = " UNION ALL ".join(f"SELECT * FROM flow{i}" for i in range(1, ROUNDS + 1))
+    return f"""WITH split AS (
+      SELECT page_id, {lower("regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1)")} AS host,
+        regexp_extract(coalesce(url, ''), '^(?s:.*?)://[^/?#]*([^?#]*)', 1) AS path, html FROM pages),
+    ruled AS (SELECT *, CASE {fits} END AS rule FROM split),
+    judged AS MATERIALIZED (SELECT page_id, host, path, rule, CASE rule {verdicts} END AS ruled, html FROM ruled),
+    targets AS (SELECT page_id, host AS src, unnest(regexp_extract_all(coalesce(html, ''), '{link}', 1)) AS t FROM judged),
+    links AS (
+      SELECT DISTINCT page_id, src, {lower("regexp_extract(CASE WHEN starts_with(t, '//') THEN 'x:' || t ELSE t END, '^.*?://([^/?#]*)', 1)")} AS dst
+      FROM targets),
+    pairs AS (SELECT src, dst, count(*) AS n FROM links WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY src, dst),
+    edges AS MATERIALIZED (SELECT src, dst, n / sum(n) OVER (PARTITION BY src) AS o, n / sum(n) OVER (PARTITION BY dst) AS b FROM pairs),
+    per_host AS MATERIALIZED (
+      SELECT host, count(*) FILTER (WHERE ruled = 'allow') AS a, count(*) FILTER (WHERE ruled = 'block') AS b FROM judged GROUP BY host),
+    flow0 AS MATERIALIZED (
+      SELECT host, a / greatest((SELECT sum(a) FROM per_host), 1) AS t, b / greatest((SELECT sum(b) FROM per_host), 1) AS d
+      FROM per_host WHERE host <> '' AND a + b > 0),
+    {rounds},
+    n_hosts AS (
+      SELECT count(*) AS n FROM (SELECT host FROM per_host UNION SELECT src FROM edges UNION SELECT dst FROM edges) WHERE host <> ''),
+    bad AS (
+      SELECT host FROM ({flows}) GROUP BY host
+      HAVING sum(d) > sum(t) AND sum(d) * {1 - DAMPING} * (SELECT n FROM n_hosts) >= {LEAST})
+    SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN host IN (SELECT host FROM bad) THEN 'block' ELSE 'allow' END) AS verdict
+    FROM judged"""
+
+
+OP1_SQL = _op1_sql()
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -102,6 +161,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 
 
 QUERIES = {
+    "op1_url_trust": (op1_url_trust, OP1_SQL),
     "op2_byte_bpe": (op2_byte_bpe, None),
     "op3_harmonic_packing": (op3_harmonic_packing, None),
     "op7_exact_dedup": (op7_exact_dedup, OP7_SQL),
