@@ -160,11 +160,32 @@ OP6_SQL = f"""WITH {repetition_ctes()}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM judged"""
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segspark.llm.language import fit, fold, identify
+
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 3) == 1
+    model = fit(docs.filter(~held_out))
+    return identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segspark.llm.language import fold
+    from segspark.llm.toxicity import fit, score
+
+    docs, held_out = table(spark, sf_dir, "documents"), fold(F.col("doc_id"), 5) == 0
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(~held_out & F.col("toxic").isNotNull())
+    model = fit(docs.join(labels, "doc_id"), corpus=docs)
+    return score(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op1_url_trust": (op1_url_trust, OP1_SQL),
     "op2_byte_bpe": (op2_byte_bpe, None),
     "op3_harmonic_packing": (op3_harmonic_packing, None),
     "op7_exact_dedup": (op7_exact_dedup, OP7_SQL),
     "op8_secret_scan": (op8_secret_scan, None),
+    "op9_language": (op9_language, None),
+    "op10_toxicity": (op10_toxicity, None),
     "op6_repetition": (op6_repetition, OP6_SQL),
 }
