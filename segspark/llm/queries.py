@@ -106,6 +106,16 @@ SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION B
 FROM t WINDOW w AS (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id)"""
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segspark.llm.language import fold
+    from segspark.llm.quality_model import fit, score
+
+    docs, held_out = table(spark, sf_dir, "documents"), fold(F.col("doc_id"), 3) == 1
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality").filter(~held_out & F.col("quality").isNotNull())
+    forest = fit(docs.join(labels, "doc_id"))
+    return score(docs, forest).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op6_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     from segspark.llm.repetition import repetition_statistics
 
@@ -187,5 +197,6 @@ QUERIES = {
     "op8_secret_scan": (op8_secret_scan, None),
     "op9_language": (op9_language, None),
     "op10_toxicity": (op10_toxicity, None),
+    "op5_quality": (op5_quality, None),
     "op6_repetition": (op6_repetition, OP6_SQL),
 }
