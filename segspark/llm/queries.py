@@ -106,6 +106,12 @@ SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION B
 FROM t WINDOW w AS (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id)"""
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segspark.llm.near_dedup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), size=2)
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from segspark.llm.language import fold
     from segspark.llm.quality_model import fit, score
@@ -197,6 +203,7 @@ QUERIES = {
     "op8_secret_scan": (op8_secret_scan, None),
     "op9_language": (op9_language, None),
     "op10_toxicity": (op10_toxicity, None),
+    "op4_near_dedup": (op4_near_dedup, None),
     "op5_quality": (op5_quality, None),
     "op6_repetition": (op6_repetition, OP6_SQL),
 }
