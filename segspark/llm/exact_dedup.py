@@ -109,13 +109,14 @@ def drop_exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
                       F.col("gone_id").eqNullSafe(F.col("k")) & (F.col("gone_digest") == F.col("d")), "left_semi")
     twice = materialize(twice)
 
-    def matches(keyed: DataFrame):
-        return F.col(f"keyed.{id_col}").eqNullSafe(keyed["gone_id"]) & (F.col("keyed.`text digest`") == keyed["gone_digest"])
-
-    keyed = df.withColumn("text digest", text_digest(F.col(text_col))).alias("keyed")
-    stay = keyed.join(gone, matches(gone), "left_anti").drop("text digest")
-    if twice.isEmpty():
-        return stay
-    again = keyed.join(twice, matches(twice), "left_semi")
-    longest = again.withColumn("text length", -F.length(text_col)).sort("text length").dropDuplicates([id_col, "text digest"])
-    return stay.unionByName(longest.drop("text digest", "text length"))
+    keyed = df.select(F.struct("*").alias("row"), F.col(id_col).alias("row_id"), text_digest(F.col(text_col)).alias("digest"))
+
+    def matches(other: DataFrame) -> Column:
+        return keyed["row_id"].eqNullSafe(other["gone_id"]) & (keyed["digest"] == other["gone_digest"])
+
+    stay = keyed.join(gone, matches(gone), "left_anti")
+    if not twice.isEmpty():
+        again = keyed.join(twice, matches(twice), "left_semi")
+        longest = again.groupBy("row_id", "digest").agg(F.max_by("row", F.length(F.col("row").getField(text_col))).alias("row"))
+        stay = stay.select("row").unionByName(longest.select("row"))
+    return stay.select("row.*")

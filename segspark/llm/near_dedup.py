@@ -387,5 +387,6 @@ def near_duplicates(
 
 def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The rows of `df`, all columns, of one document per group. Only ids of documents that go are joined to it."""
-    gone = materialize(near_duplicates(df, id_col, text_col, **how).filter("not kept").select(F.col(id_col).alias("gone id")).distinct())
-    return df.join(gone, df[id_col].eqNullSafe(gone["gone id"]), "left_anti")
+    gone = materialize(near_duplicates(df, id_col, text_col, **how).filter("not kept").select(F.col(id_col).alias("gone_id")).distinct())
+    rows = df.select(F.struct("*").alias("row"), F.col(id_col).alias("row_id"))
+    return rows.join(gone, rows["row_id"].eqNullSafe(gone["gone_id"]), "left_anti").select("row.*")

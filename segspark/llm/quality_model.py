@@ -208,7 +208,7 @@ def fit(df: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_
     rows = labelled.join(F.broadcast(keys), "key", "left_semi").select("y", "body")
     learnt = _table_of_statistics(rows).toArrow()
     y = learnt["y"].to_numpy().astype(float)
-    x = np.array(learnt["x"].to_pylist(), np.float32).reshape(len(y), -1)
+    x = np.array(learnt["x"].to_pylist(), np.float32).reshape(len(y), len(STATISTICS))
     if not len(y) or y.min() == y.max():
         none = np.zeros(0, np.int32)
         return Forest(none, none.astype(np.float32), none, none, none.astype(float), none, 0, 0.0 if not len(y) else (40.0 if y[0] else -40.0))

@@ -202,7 +202,8 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", q: float
 
 def redact(df: DataFrame, text_col: str = "text", mark: str = "[SECRET]", q: float = FALSE_DISCOVERIES) -> DataFrame:
     """`df` with every span of its texts replaced by `mark`; overlapping spans become one mark. Null stays null."""
-    tested = with_spans(df, text_col)
+    packed = df.select(F.struct("*").alias("~row"), F.col(text_col).cast("string").alias("~text"))
+    tested = with_spans(packed, "~text")
     levels = thresholds(materialize(tested.select("~candidates")), q)
     merged = (
         "aggregate(`~spans`, CAST(array() AS array<struct<start:bigint,end:bigint>>), (m, s) ->"
@@ -211,10 +212,10 @@ def redact(df: DataFrame, text_col: str = "text", mark: str = "[SECRET]", q: flo
         " ELSE concat(m, array(named_struct('start', s.start, 'end', s.end))) END)"
     )
     parts = (
-        f"concat(transform(sequence(1, size(`~spans`)), i -> concat(substr(`{text_col}`, 1 + CAST(if(i = 1, 0, `~spans`[i - 2].end) AS INT),"
+        f"concat(transform(sequence(1, size(`~spans`)), i -> concat(substr(`~text`, 1 + CAST(if(i = 1, 0, `~spans`[i - 2].end) AS INT),"
         f" CAST(`~spans`[i - 1].start - if(i = 1, 0, `~spans`[i - 2].end) AS INT)), '{mark}')),"
-        f" array(substr(`{text_col}`, 1 + CAST(`~spans`[size(`~spans`) - 1].end AS INT))))"
+        f" array(substr(`~text`, 1 + CAST(`~spans`[size(`~spans`) - 1].end AS INT))))"
     )
     out = tested.withColumn("~spans", _accepted(levels)).withColumn("~spans", F.expr(merged))
-    cleaned = F.when(F.size("~spans") > 0, F.array_join(F.expr(parts), "")).otherwise(F.col(text_col))
-    return out.withColumn(text_col, cleaned).drop("~spans", "~base", "~candidates")
+    cleaned = F.when(F.size("~spans") > 0, F.array_join(F.expr(parts), "")).otherwise(F.col("~text"))
+    return out.select(*(cleaned.alias(c) if c == text_col else F.col("~row").getField(c).alias(c) for c in df.columns))

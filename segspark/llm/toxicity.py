@@ -2,7 +2,8 @@
 
 Words are hidden by writing letters as digits or signs, by signs or spaces between letters, and by
 repeating letters. For every such token a lattice of what each character may stand for is decoded by
-Viterbi under a letter-pair model of the corpus; the score then looks at restored words only.
+Viterbi under a letter-pair model of the corpus; the score then looks at restored words only, those of
+the few likeliest readings (letter pairs alone cannot always tell "ldiot" from "idiot").
 
 * The letter-pair model counts all letter pairs of all documents (pre-aggregated in tasks; at most
   `MOST_PAIRS` pairs are collected, the most frequent).
@@ -21,6 +22,7 @@ table an empty result. Only the named columns are read, so other columns cannot
 from __future__ import annotations
 
 import hashlib
+import heapq
 import math
 import re
 from collections.abc import Iterator
@@ -44,8 +46,10 @@ LEET = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i",
 }
-# Costs in nats: a sign read as a letter, a sign dropped, a sign read as a word's end, a letter run shortened.
-READ, DROP, BREAK, SHORTEN = 1.0, 2.0, 2.0, 0.5
+# Costs in nats: a character read as a letter; a sign that can be no letter dropped, or read as a word's
+# end; the same for one that can be a letter (which also saves that letter's cost); a run shortened.
+READ, DROP, BREAK, DROP_LETTER, SHORTEN = 0.5, 1.0, 2.5, 6.0, 0.5
+READINGS = 6
 EDGE = ".,;:!?#*%&|<>()[]{}\"'`~^-_=+/\\$…«»“”’"
 _RUN = re.compile(r"([^\W\d_])\1\1")
 _SPACED = re.compile(r"(?<![^\W_])[^\W_](?:[ .\-_*][^\W_]){2,}(?![^\W_])")
@@ -81,46 +85,52 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
         if c.isalpha():
             out.append([(c * n, 0.0)] if n < 3 else [(c, SHORTEN), (c * 2, SHORTEN)])
             continue
-        choices = [("", DROP), (" ", BREAK)]
+        choices = [("", DROP_LETTER), (" ", DROP_LETTER)] if c in LEET else [("", DROP), (" ", BREAK)]
         for letter in LEET.get(c, ""):
             choices += [(letter, READ)] + [(letter * 2, READ)] * (n > 1)
         out.append(choices)
     return out
 
 
-def decode(token: str, model: LetterModel) -> str:
-    """The cheapest reading of a token (Viterbi); words are separated by a space."""
-    best: dict[str, tuple[float, tuple | None]] = {"": (0.0, None)}
+def decode(token: str, model: LetterModel, readings: int = READINGS) -> list[str]:
+    """The cheapest readings of a token, best first (Viterbi with that many paths per state); words are separated by a space."""
+    best: dict[str, list[tuple]] = {"": [(0.0, None)]}
     for choices in lattice(token):
-        after: dict[str, tuple[float, tuple | None]] = {}
-        for state, (cost, path) in best.items():
+        after: dict[str, list[tuple]] = {}
+        for state, paths in best.items():
             for text, extra in choices:
                 if text == " ":
-                    end, total = "", cost + extra + (model.cost(state, "") if state else 0.0)
+                    end, more = "", extra + (model.cost(state, "") if state else 0.0)
                 else:
-                    end, total = state, cost + extra
+                    end, more = state, extra
                     for letter in text:
-                        total += model.cost(end, letter)
+                        more += model.cost(end, letter)
                         end = letter
-                if end not in after or total < after[end][0]:
-                    after[end] = (total, (path, text))
-        best = after
-    path = min(((cost + (model.cost(s, "") if s else 0.0), s, path) for s, (cost, path) in best.items()), key=lambda x: x[:2])[2]
-    parts = []
-    while path is not None:
-        parts.append(path[1])
-        path = path[0]
-    return "".join(reversed(parts))
+                after.setdefault(end, []).extend((cost + more, (path, text)) for cost, path in paths)
+        best = {end: heapq.nsmallest(readings, paths, key=_cost) for end, paths in after.items()}
+    ends = [(cost + (model.cost(s, "") if s else 0.0), path) for s, paths in best.items() for cost, path in paths]
+    out: list[str] = []
+    for _, path in sorted(ends, key=_cost):
+        parts = []
+        while path is not None:
+            parts.append(path[1])
+            path = path[0]
+        out.append(" ".join("".join(reversed(parts)).split()))
+    return list(dict.fromkeys(out))[:readings]
+
+
+def _cost(path: tuple) -> float:
+    return path[0]
 
 
 def restore(token: str, model: LetterModel) -> list[str]:
-    """The words of a lower-case token without white space."""
+    """The words of a lower-case token without white space: of all its likely readings, if it needs decoding."""
     core = token.rstrip(EDGE).lstrip(EDGE.replace("$", "").replace("!", "").replace("|", ""))
     if not any(c.isalpha() for c in core):
         return []
     if core.isalpha() and not _RUN.search(core):
         return [core]
-    return decode(core, model).split()
+    return list(dict.fromkeys(w for reading in decode(core, model) for w in reading.split()))
 
 
 def tokens(text: str) -> list[str]:
