@@ -1,10 +1,10 @@
 """Exact interpolated quantiles without a shuffle of the values.
 
-``percentile`` keeps every distinct value of a column in one task. That is fine
-for a checked number of rows. Beyond it, each wanted rank is bracketed with a
-sketch of fixed size, the bracket is narrowed by counting, and ``percentile``
-sees only what is left inside. Every pass is one aggregate over the table whose
-shuffle is one row per task, whatever the skew: equal values close a bracket.
+Each wanted rank lies in an open interval of values, at first the whole line. A pass proposes one or
+two values around the rank with a sketch of fixed size and counts what is below and equal to
+them. The rank is then either one of these values, or its interval has lost them, so every pass
+shrinks it and every column ends, whatever its ties. A pass is two aggregates over the table, each with one
+row per task to shuffle. Tables of up to the sketch's size usually take one pass.
 """
 
 from __future__ import annotations
@@ -13,35 +13,75 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SMALL_ROWS = 1_000_000
 SKETCH = 10_000
+# Ranks that one aggregate works on.
+AT_ONCE = 40
 
 
 @dataclass
 class _Rank:
+    """The value at a place of the sorted column, known to lie strictly between ``low`` and ``high``."""
+
     column: str
     position: int
-    low: float
-    high: float
-    below: int
     inside: int
+    below: int = 0
+    low: float | None = None
+    high: float | None = None
+    value: float | None = None
 
-    def members(self):
+    def members(self) -> Column:
         c = F.col(self.column)
-        return F.when((c >= self.low) & (c <= self.high), c)
+        within = c.isNotNull()
+        if self.low is not None:
+            within &= c > F.lit(self.low)
+        if self.high is not None:
+            within &= c < F.lit(self.high)
+        return F.when(within, c)
+
+    def around(self, sketch: int) -> list[float]:
+        share = (self.position - self.below) / max(1, self.inside - 1)
+        reach = 2 / sketch if self.inside > sketch else 0.0
+        return [max(0.0, share - reach), min(1.0, share + reach)]
+
+    def narrow(self, at: float, below: int, upto: int) -> None:
+        """Learn that ``below`` values are under ``at`` and ``upto`` are not above it."""
+        if self.value is not None:
+            return
+        if below <= self.position < upto:
+            self.value = at
+        elif self.position < below and below < self.below + self.inside:
+            self.high, self.inside = at, below - self.below
+        elif self.position >= upto and upto > self.below:
+            self.low, self.inside, self.below = at, self.inside - (upto - self.below), upto
+
+
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], sketch: int = SKETCH) -> DataFrame:
+    """One row; per column an array with the quantile of each probability (null without values)."""
+    values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    counts = values.agg(*[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+    sizes = {c: counts[f"n{i}"] for i, c in enumerate(columns)}
+    ranks: dict[tuple[str, int], _Rank] = {}
+    for c, n in sizes.items():
+        for p in probs if n else ():
+            for position in (math.floor(p * (n - 1)), math.ceil(p * (n - 1))):
+                ranks.setdefault((c, position), _Rank(c, position, n))
+    while unknown := [r for r in ranks.values() if r.value is None]:
+        for first in range(0, len(unknown), AT_ONCE):
+            _pass(values, unknown[first : first + AT_ONCE], sketch)
 
+    def interpolated(c: str, p: float) -> Column:
+        place = p * (sizes[c] - 1)
+        low, high = ranks[c, math.floor(place)].value, ranks[c, math.ceil(place)].value
+        return F.lit(low if low == high else low + (high - low) * (place - math.floor(place)))
 
-def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], small_rows: int = SMALL_ROWS
-) -> DataFrame:
-    """One row; per column an array with the quantile of each probability."""
-    values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    if values.count() <= small_rows:
-        return values.agg(*[F.percentile(c, list(probs)).alias(c) for c in columns])
-    return _narrowed(values, columns, probs, small_rows)
+    answers = [
+        F.array(*[interpolated(c, p) for p in probs]) if n else F.lit(None).cast("array<double>") for c, n in sizes.items()
+    ]
+    return values.sparkSession.range(1).select(*[a.alias(c) for a, c in zip(answers, columns, strict=True)])
 
 
 def approximate_quantiles(
@@ -57,79 +97,16 @@ def median(df: DataFrame, column: str) -> DataFrame:
     return exact_quantiles(df, [column], [0.5]).select(F.col(column)[0].alias(column))
 
 
-def _narrowed(values, columns, probs, small_rows):
-    first = values.agg(
-        *[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)],
-        *[F.min(c).alias(f"lo{i}") for i, c in enumerate(columns)],
-        *[F.max(c).alias(f"hi{i}") for i, c in enumerate(columns)],
-    ).first()
-    ranks: dict[tuple[str, int], _Rank] = {}
-    for i, c in enumerate(columns):
-        n = first[f"n{i}"]
-        for p in probs if n else ():
-            for position in (math.floor(p * (n - 1)), math.ceil(p * (n - 1))):
-                ranks.setdefault(
-                    (c, position), _Rank(c, position, first[f"lo{i}"], first[f"hi{i}"], 0, n)
-                )
-    limit = max(1, small_rows // 10)
-    while True:
-        wide = [r for r in ranks.values() if r.low < r.high and r.inside > limit]
-        if not wide:
-            break
-        _tighten(values, wide)
-    found = _read_off(values, [r for r in ranks.values()])
-    row = []
-    for i, c in enumerate(columns):
-        n = first[f"n{i}"]
-        answers = []
-        for p in probs if n else ():
-            x = p * (n - 1)
-            low, high = found[(c, math.floor(x))], found[(c, math.ceil(x))]
-            answers.append(low + (high - low) * (x - math.floor(x)))
-        row.append(answers or None)
-    schema = ", ".join(f"`{c}` array<double>" for c in columns)
-    return values.sparkSession.createDataFrame([tuple(row)], schema)
-
-
-def _tighten(values: DataFrame, wide: list[_Rank]) -> None:
-    """One sketch pass to propose brackets, one counting pass to confirm them."""
-    sketches = []
-    for i, r in enumerate(wide):
-        share = (r.position - r.below) / max(1, r.inside - 1)
-        around = [max(0.0, share - 3 / SKETCH), min(1.0, share + 3 / SKETCH)]
-        sketches.append(F.percentile_approx(r.members(), around, SKETCH).alias(f"q{i}"))
-    proposed = values.agg(*sketches).first()
+def _pass(values: DataFrame, ranks: list[_Rank], sketch: int) -> None:
+    """One sketch to propose values, one count to learn where they stand."""
+    proposals = [F.percentile_approx(r.members(), r.around(sketch), sketch).alias(f"q{i}") for i, r in enumerate(ranks)]
+    proposed = values.agg(*proposals).first()
+    wanted = sorted({(r.column, x) for i, r in enumerate(ranks) for x in proposed[f"q{i}"]})
     counts = []
-    for i, r in enumerate(wide):
-        low, high = proposed[f"q{i}"]
-        c = F.col(r.column)
-        counts += [
-            F.count_if(c < low).alias(f"below{i}"),
-            F.count_if(c <= high).alias(f"upto{i}"),
-            F.min(F.when(c > high, c)).alias(f"next{i}"),
-            F.max(F.when(c < low, c)).alias(f"prev{i}"),
-        ]
+    for i, (c, x) in enumerate(wanted):
+        counts += [F.count_if(F.col(c) < F.lit(x)).alias(f"below{i}"), F.count_if(F.col(c) <= F.lit(x)).alias(f"upto{i}")]
     seen = values.agg(*counts).first()
-    for i, r in enumerate(wide):
-        low, high = proposed[f"q{i}"]
-        below, upto = seen[f"below{i}"], seen[f"upto{i}"]
-        if r.position < below:
-            r.high, r.inside = seen[f"prev{i}"], below - r.below
-        elif r.position >= upto:
-            r.low, r.inside, r.below = seen[f"next{i}"], r.inside - (upto - r.below), upto
-        else:
-            r.low, r.high, r.below, r.inside = low, high, below, upto - below
-
-
-def _read_off(values: DataFrame, ranks: list[_Rank]) -> dict[tuple[str, int], float]:
-    open_ranks = [r for r in ranks if r.low < r.high]
-    found = {(r.column, r.position): r.low for r in ranks if r.low == r.high}
-    if open_ranks:
-        got = values.agg(
-            *[
-                F.percentile(r.members(), (r.position - r.below) / max(1, r.inside - 1)).alias(f"v{i}")
-                for i, r in enumerate(open_ranks)
-            ]
-        ).first()
-        found.update({(r.column, r.position): got[f"v{i}"] for i, r in enumerate(open_ranks)})
-    return found
+    for i, (c, x) in enumerate(wanted):
+        for r in ranks:
+            if r.column == c:
+                r.narrow(x, seen[f"below{i}"], seen[f"upto{i}"])

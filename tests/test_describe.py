@@ -22,15 +22,41 @@ def skewed(spark):
 PROBS = [0.0, 0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99, 1.0]
 
 
-@pytest.mark.parametrize("small_rows", [1_000_000, 200, 10])
+@pytest.mark.parametrize("sketch", [10_000, 100, 12])
 @pytest.mark.parametrize("parts", [1, 9])
-def test_quantiles_are_exact_both_ways(skewed, small_rows, parts):
+def test_quantiles_are_exact_whatever_the_sketch(skewed, sketch, parts):
     a, b, df = skewed
-    row = exact_quantiles(df.repartition(parts), ["a", "b"], PROBS, small_rows).first()
+    row = exact_quantiles(df.repartition(parts), ["a", "b"], PROBS, sketch).first()
     assert np.allclose(row["a"], np.quantile(a, PROBS), rtol=1e-9)
     assert np.allclose(row["b"], np.quantile(b, PROBS), rtol=1e-9)
 
 
+@pytest.mark.parametrize("values", [
+    [0.0, 1.0] * 10_000,
+    [float(x % 11) for x in range(20_000)],
+    [5.0] * 2000,
+    [0.0] * 9999 + [1.0] + [0.0] * 5,
+    [float(x) for x in range(1001)] + [float("inf"), float("-inf"), -0.0],
+    [1.5, 2.5],
+    [3.0],
+])
+def test_quantiles_end_on_ties_and_odd_sizes(spark, values):
+    import pandas as pd
+
+    df = spark.createDataFrame(pd.DataFrame({"x": values}))
+    probs = [0.0, 0.1, 0.25, 1 / 3, 0.5, 0.75, 0.999, 1.0]
+    finite = [p for p in probs if np.isfinite(np.quantile(values, p))]
+    for sketch in (20, 10_000):
+        got = exact_quantiles(df, ["x"], finite, sketch).first()["x"]
+        assert np.allclose(got, np.quantile(values, finite), rtol=1e-12)
+
+
+def test_quantiles_with_nan_and_nulls(spark):
+    rows = [(1.0, None), (2.0, None), (float("nan"), None), (None, None)]
+    row = exact_quantiles(spark.createDataFrame(rows, "a double, b double"), ["a", "b"], [0.0, 0.5, 1.0], 5).first()
+    assert row["a"][:2] == [1.0, 2.0] and np.isnan(row["a"][2]) and row["b"] is None
+
+
 def test_quantiles_of_an_empty_column(spark):
     df = spark.createDataFrame([(None, 1.0)] * 30, "a double, b double")
     assert exact_quantiles(df, ["a", "b"], [0.5], 10).first()["a"] is None
