@@ -21,6 +21,7 @@ table gives no pieces. Only id and text are read, so other columns cannot clash.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import os
 import re
 import zlib
@@ -49,6 +50,27 @@ def chunks(text: str) -> list[str]:
     return _CHUNK.findall(text) if _NOT_SPACE.search(text) else text.split()
 
 
+# A word of Latin letters with signs after it: two pieces to the tokenizer, which also lower-cases.
+_WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?#*$%&|]*)")
+
+
+class ChunkEncoder:
+    """Ids of chunks. Words are encoded once whatever their case and the signs after them."""
+
+    def __init__(self, tokenizer, most: int = 400_000):
+        self.tokenizer, self.most = tokenizer, most
+        self.known: dict[str, list[int]] = {}
+
+    def __call__(self, found: list[str]) -> list[list[int]]:
+        if len(self.known) > self.most:
+            self.known = dict(itertools.islice(self.known.items(), self.most // 2))
+        parts = [(m[1].lower(), m[2]) if (m := _WORD.fullmatch(c)) else (c, "") for c in found]
+        new = list(dict.fromkeys(p for both in parts for p in both if p and p not in self.known))
+        if new:
+            self.known.update(zip(new, (e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)), strict=True))
+        return [self.known[word] + self.known[signs] if signs else self.known[word] for word, signs in parts]
+
+
 def worker_tokens(definition: str) -> PieceCache:
     """The tokenizer of this worker with the chunks it has seen."""
     state, key = worker_state(), ("tokenizer", hashlib.sha256(definition.encode()).digest())
@@ -56,8 +78,7 @@ def worker_tokens(definition: str) -> PieceCache:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_str(definition)
-        state[key] = PieceCache(lambda pieces: [e.ids for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)])
+        state[key] = PieceCache(ChunkEncoder(Tokenizer.from_str(definition)))
     return state[key]
 
 

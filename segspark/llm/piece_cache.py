@@ -6,6 +6,7 @@ one after another in a flat array; a batch becomes an array of piece numbers, an
 
 from __future__ import annotations
 
+import itertools
 import sys
 import types
 from collections.abc import Callable
@@ -27,19 +28,27 @@ def gather(flat: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarra
 
 
 class PieceCache:
-    """piece -> ids. Emptied between batches once it holds `most` pieces; results never depend on that."""
+    """piece -> ids. Between batches, once it holds `most` pieces, only the first half stays.
 
-    def __init__(self, encode: Callable[[list], list], most: int = 400_000):
-        self.encode, self.most = encode, most
-        self.clear()
+    Frequent pieces come early, so most of them stay. Results never depend on what is held.
+    """
 
-    def clear(self):
+    def __init__(self, encode: Callable[[list], list], most: int = 600_000):
+        self.encode, self.most = encode, most
         self.number: dict = {}
         self.flat = np.zeros(1 << 16, np.int32)
         self.start = np.zeros(1 << 14, np.int64)
         self.length = np.zeros(1 << 14, np.int64)
         self.used = 0
 
+    def forget(self):
+        half = self.most // 2
+        if self.used > 16 * self.most:  # a few very long pieces
+            half = int(np.searchsorted(np.cumsum(self.length[: len(self.number)]), 8 * self.most))
+        half = min(half, len(self.number))
+        self.number = dict(itertools.islice(self.number.items(), half))
+        self.used = int(self.length[:half].sum())
+
     def _add(self, pieces: list, ids: list):
         known = len(self.number)
         while known + len(pieces) > len(self.start):
@@ -57,9 +66,9 @@ class PieceCache:
     def ids(self, texts: list[list]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of texts, each given as its pieces: all ids, and where each text begins (and the end)."""
         if len(self.number) > self.most or self.used > 16 * self.most:
-            self.clear()
+            self.forget()
         pieces = [p for t in texts for p in t]
-        missing = list(dict.fromkeys(p for p in pieces if p not in self.number))
+        missing = sorted(set(pieces).difference(self.number))
         if missing:
             self._add(missing, self.encode(missing))
         numbers = np.fromiter(map(self.number.__getitem__, pieces), np.int64, len(pieces))
