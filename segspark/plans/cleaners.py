@@ -72,9 +72,12 @@ def fill_funnel(df: DataFrame, focal: str) -> DataFrame:
 
     filled = {}
     evidence = present("P3M", "P1M", "Brand_Likability", "Weekly", "Daily")
+    spontaneous = present("Spontaneous")
     if len(present("Spontaneous", "Awareness")) == 2:
         filled["Spontaneous"] = t.first_known("Spontaneous", "Awareness", default=unknown)
-        evidence.append(t.first_known("Spontaneous", "Awareness"))
+        spontaneous = ["Spontaneous", "Awareness"]
+    if spontaneous:  # evidence whenever the answer is there; filled first where it can be
+        evidence.append(t.first_known(*spontaneous))
     if present("Trial"):
         filled["Trial"] = t.fill_if_all("Trial", evidence, focal, unknown)
     for stage, sources in (("P3M", ("P1M", "Daily", "Weekly")), ("P1M", ("Daily", "Weekly"))):
@@ -102,10 +105,13 @@ def fill_visits(df: DataFrame, focal: str) -> DataFrame:
 
 
 def fill_likability(df: DataFrame, image: DataFrame | None, order: Sequence | None, often: float = 3) -> DataFrame:
-    """Gaps in likability: own brand for frequent visitors, then the last brand image per ID."""
+    """Gaps in likability: own brand for frequent visitors, then the last brand image per ID.
+    Nothing to do in a table without likability or visits."""
+    if not {"Brand_Likability", "Frequency_Visit"} <= set(df.columns):
+        return df
     own = F.when(F.col("Frequency_Visit") > often, F.col("Brand")) if "Brand" in df.columns else F.lit(None)
     parts = [F.col("Brand_Likability"), own]
-    if image is not None:
+    if image is not None and "BrandImage" in image.columns:
         if not order:
             raise ValueError("give the order columns that say which brand image is the last")
         df = t.lookup_last(df, t.cast_key(image), "ID", "BrandImage", order, "_image")
@@ -114,18 +120,22 @@ def fill_likability(df: DataFrame, image: DataFrame | None, order: Sequence | No
 
 
 def settle_spending(df: DataFrame, focal: str, strict: bool = False) -> DataFrame:
-    """No spending without trial of the focal brand; ratio, segment and scores follow from it."""
-    untried = ~F.col("Trial").eqNullSafe(F.lit(focal))
-    df = df.withColumns(
-        {
-            "Spending": F.when(untried, 0.0).otherwise(F.col("Spending").cast("double")),
-            "PPA": F.when(untried, float(fixed.MISSING_NUMBER)).otherwise(F.col("PPA").cast("double")),
-        }
-    )
-    df = df.withColumn("PPA", c.ratio_refreshed("PPA", "Spending", "Frequency_Visit"))
-    df = df.withColumn("Segmentation", c.spend_segment("Spending", strict=strict))
+    """No spending without trial of the focal brand; ratio, segment and scores follow from it.
+    Each step is left out where its columns are absent."""
+    numbers = [x for x in ("Spending", "PPA") if x in df.columns]
+    df = df.withColumns({x: F.col(x).cast("double") for x in numbers}) if numbers else df
+    if {"Trial", "Spending"} <= set(df.columns):
+        untried = ~F.col("Trial").eqNullSafe(F.lit(focal))
+        none = {"Spending": 0.0, "PPA": float(fixed.MISSING_NUMBER)}
+        df = df.withColumns({x: F.when(untried, none[x]).otherwise(F.col(x)) for x in numbers})
+    if {"PPA", "Spending", "Frequency_Visit"} <= set(df.columns):
+        df = df.withColumn("PPA", c.ratio_refreshed("PPA", "Spending", "Frequency_Visit"))
+    if "Spending" in df.columns:
+        df = df.withColumn("Segmentation", c.spend_segment("Spending", strict=strict))
     nps = F.col("NPS_P3M").cast("double") if "NPS_P3M" in df.columns else F.lit(None).cast("double")
-    df = df.withColumn("NPS_P3M", c.nps_filled(nps, "Brand_Likability", "Segmentation", focal))
+    if {"Brand_Likability", "Segmentation"} <= set(df.columns):
+        nps = c.nps_filled(nps, "Brand_Likability", "Segmentation", focal)
+    df = df.withColumn("NPS_P3M", nps)
     return df.withColumn("NPS_P3M_Group", c.nps_group("NPS_P3M"))
 
 
@@ -146,7 +156,7 @@ def clean_brandhealth(
     df = t.fill_present(df, ["Weekly", "Daily"], fixed.UNKNOWN)
     df = t.drop_copy_column(df, "Spending", "Spending_use")
     settled = materialize(settle_spending(df, focal, strict))
-    return winsorize(settled, ["Frequency_Visit", "Spending", "NPS_P3M"])
+    return winsorize(settled, [x for x in ("Frequency_Visit", "Spending", "NPS_P3M") if x in settled.columns])
 
 
 def clean_all(

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +24,7 @@ class TableSpec:
     sep: str = ";"
     schema: T.StructType | str | None = None
     required: tuple[str, ...] = ()
+    multiline: bool | None = None
 
 
 # File names and separators of the raw and of the cleaned survey tables.
@@ -58,26 +59,47 @@ def text_encoding(spark: SparkSession, path: str) -> str:
     return "utf-8" if bad.isEmpty() else "iso-8859-1"
 
 
-def sniff_delimiter(spark: SparkSession, path: str, lines: int = 20) -> str:
-    """The candidate that splits the first lines into the most, and equally many, fields."""
-    head = [r["value"] for r in _text(spark, path).head(lines)]
-    if not head:
+def _unquoted(line) -> Column:
+    return F.regexp_replace(line, '"[^"]*"', "")
+
+
+def sniff_delimiter(spark: SparkSession, path: str) -> str:
+    """The candidate that splits the most lines into as many fields as the header, then into the most fields.
+
+    One aggregate over all lines; separators inside quotes do not count.
+    """
+    lines = _text(spark, path)
+    header = lines.select(_unquoted("value").alias("value")).first()
+    if header is None:
         raise ValueError(f"{path} is empty")
+    wanted = {sep: header["value"].count(sep) for sep in DELIMITERS}
+    plain = _unquoted("value")
+    agree = [
+        F.count_if(F.length(plain) - F.length(F.replace(plain, F.lit(sep), F.lit(""))) == n).alias(f"s{i}")
+        for i, (sep, n) in enumerate(wanted.items())
+    ]
+    seen = lines.agg(*agree).first()
+    score = {sep: (seen[f"s{i}"] if n else 0, n) for i, (sep, n) in enumerate(wanted.items())}
+    return max(DELIMITERS, key=score.__getitem__)
 
-    def score(sep):
-        counts = [line.count(sep) for line in head]
-        return (sum(n == counts[0] for n in counts) if counts[0] else 0, counts[0])
 
-    return max(DELIMITERS, key=score)
+def has_quoted_newlines(spark: SparkSession, path: str) -> bool:
+    """Whether some line holds an odd number of quotes, so that a record goes on in the next line."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not _text(spark, path).where(quotes % 2 == 1).isEmpty()
 
 
 def read_delimited(
-    spark: SparkSession, path: str, sep: str = ";", schema=None, encoding: str | None = None
+    spark: SparkSession, path: str, sep: str = ";", schema=None, encoding: str | None = None, multiline: bool | None = None
 ) -> DataFrame:
-    """Header row, given separator; the encoding is found by reading when not given."""
+    """Header row, given separator; encoding, and whether records span lines, are found by reading when not given.
+
+    A file whose records span lines cannot be split: one task reads it.
+    """
+    spans = has_quoted_newlines(spark, path) if multiline is None else multiline
     reader = (
         spark.read.option("sep", sep).option("header", True).option("quote", '"').option("escape", '"')
-        .option("encoding", encoding or text_encoding(spark, path))
+        .option("encoding", encoding or text_encoding(spark, path)).option("multiLine", spans)
     )
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     df = reader.csv(path)
@@ -90,7 +112,7 @@ def load_catalog(
     """Every table of the catalog, checked for its required columns."""
     out = {}
     for name, spec in catalog.items():
-        df = read_delimited(spark, f"{folder.rstrip('/')}/{spec.file}", spec.sep, spec.schema)
+        df = read_delimited(spark, f"{folder.rstrip('/')}/{spec.file}", spec.sep, spec.schema, multiline=spec.multiline)
         require_columns(df, spec.required, name)
         out[name] = df
     return out
@@ -106,17 +128,16 @@ def load_directory(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 
 def _read_tolerant(spark: SparkSession, path: str) -> DataFrame:
-    sep, encoding = sniff_delimiter(spark, path), text_encoding(spark, path)
-    inferred = read_delimited(spark, path, sep, encoding=encoding)
+    sep, encoding, spans = sniff_delimiter(spark, path), text_encoding(spark, path), has_quoted_newlines(spark, path)
+    inferred = read_delimited(spark, path, sep, encoding=encoding, multiline=spans)
     names = inferred.columns
     schema = T.StructType([*inferred.schema.fields, T.StructField("_line", T.StringType())])
     df = (
         spark.read.option("sep", sep).option("header", True).option("encoding", encoding)
-        .option("quote", '"').option("escape", '"').option("enforceSchema", True)
+        .option("quote", '"').option("escape", '"').option("enforceSchema", True).option("multiLine", spans)
         .option("columnNameOfCorruptRecord", "_line").schema(schema).csv(path)
     )
-    unquoted = F.regexp_replace("_line", '"[^"]*"', "")
-    fields = F.size(F.split(unquoted, f"\\Q{sep}\\E", -1))
+    fields = F.size(F.split(_unquoted("_line"), f"\\Q{sep}\\E", -1))
     surplus = F.coalesce(fields > len(names), F.lit(False))
     return nan_to_null(df.where(~surplus).select(*names))
 

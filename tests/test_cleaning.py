@@ -305,3 +305,23 @@ def test_raw_tables_to_encoded_features(spark):
     ).fit(featured)
     assert model.feature_names() == ["Visit", "PPA", "Age", "Funnel_Depth", "Age_Group_2", "Needstates_Unknown"]
     assert model.transform(featured, ["ID"]).where("ID = '3'").first()["Needstates_Unknown"] == 1.0
+
+
+def test_spontaneous_is_evidence_without_awareness(spark):
+    rows = [(None, FOCAL, FOCAL), (None, FOCAL, "Other"), (None, FOCAL, None)]
+    df = spark.createDataFrame(rows, "Trial string, P3M string, Spontaneous string")
+    assert [r["Trial"] for r in cleaners.fill_funnel(df, FOCAL).collect()] == [FOCAL, fixed.UNKNOWN, fixed.UNKNOWN]
+
+
+def test_health_cleaner_leaves_out_what_is_absent(spark):
+    base = spark.createDataFrame([("1", "a", 10.0), ("2", "a", 70000.0)], "ID string, Awareness string, Spending double")
+    out = {r["ID"]: r for r in cleaners.clean_brandhealth(base, FOCAL).collect()}
+    assert out["1"]["Segmentation"] != out["2"]["Segmentation"]
+    assert out["1"]["NPS_P3M"] is None and out["1"]["NPS_P3M_Group"] == "Detractive"
+    assert "Brand_Likability" not in out["1"].asDict() and "PPA" not in out["1"].asDict()
+    for absent in ("Spending", "PPA", "Trial", "Brand_Likability", "Frequency_Visit", "NPS_P3M"):
+        full = spark.createDataFrame(
+            [("1", "a", "x", None, 5.0, 40000.0, 3.0, 7.0)],
+            "ID string, Awareness string, Trial string, Brand_Likability string, Frequency_Visit double, Spending double, PPA double, NPS_P3M double",
+        )
+        assert cleaners.clean_brandhealth(full.drop(absent), FOCAL).count() == 1

@@ -77,3 +77,19 @@ def test_materialized_table_has_no_history(spark):
     df = materialize(spark.range(10).withColumn("r", F.rand()))
     assert df.collect() == df.collect()
     assert scratch_root(spark) in df.inputFiles()[0]
+
+
+def test_quoted_newlines_stay_in_their_record(spark, tmp_path):
+    path = tmp_path / "notes.csv"
+    path.write_text('id;note;x\n1;"first\nsecond; ""third""";a\n2;plain;b\n', encoding="utf-8")
+    rows = [tuple(r) for r in files.read_delimited(spark, str(path), ";").collect()]
+    assert rows == [(1, 'first\nsecond; "third"', "a"), (2, "plain", "b")]
+    loaded = files.load_directory(spark, str(tmp_path))["notes.csv"]
+    assert [tuple(r) for r in loaded.collect()] == rows
+
+
+def test_the_separator_is_chosen_over_all_lines(spark, tmp_path):
+    path = tmp_path / "late.csv"
+    body = ["a;b,c"] + ["1;2,3"] * 30 + [f"{i};x" for i in range(100)]
+    path.write_text("\n".join(body), encoding="utf-8")
+    assert files.sniff_delimiter(spark, str(path)) == ";"
