@@ -12,6 +12,7 @@ from segspark.operators import tuning as tu
 from segspark.operators.encode import FeatureEncoder, FeatureSpec
 from segspark.operators.models import ClusterSpec, fit_cluster
 from segspark.operators.profiles import profile_table
+from segspark.operators.tables import attach_labels as attach
 from segspark.queries import statistics
 from segspark.queries.standins import rounded, sql_round, table
 from segspark.session import materialize
@@ -95,6 +96,50 @@ evaluate_many_sql = f"WITH {VECTORS_SQL}, {_index_ctes('label')}, {_index_ctes('
     for name, tag in (("label", ""), ("parity", "2"))
 )
 
+
+def evaluate_one_without_noise(spark, sf_dir):
+    """Indices of one labelling whose first label stands for noise, which is left out."""
+    rows = vectors(spark, sf_dir).withColumn("label", F.when(F.col("label") == 0, -1).otherwise(F.col("label")))
+    return rounded(ix.evaluate(rows, "x", "label", "vec_id", noise="drop", model="given"))
+
+
+_KEPT_SQL = VECTORS_SQL.replace(" FROM embeddings", " FROM embeddings WHERE label <> 0")
+evaluate_one_without_noise_sql = f"""WITH {_KEPT_SQL}, {_index_ctes('label')}
+SELECT 'given' AS model, k AS n_clusters, {sql_round('(SELECT avg(s) FROM si)', 'silhouette')},
+  {sql_round('ch', 'calinski_harabasz')}, {sql_round('(SELECT db FROM db)', 'davies_bouldin')} FROM ch"""
+
+
+def attach_labels(spark, sf_dir):
+    """Customers with a label of their own, joined by key; both sides must hold the same keys."""
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    labels = table(spark, sf_dir, "customer").select("c_custkey", (F.col("c_acctbal") > 0).cast("int").alias("cluster"))
+    return attach(customers, labels, "c_custkey")
+
+
+attach_labels_sql = "SELECT c_custkey, c_nationkey, (c_acctbal > 0)::INTEGER AS cluster FROM customer"
+
+
+def encode_other_rows(spark, sf_dir):
+    """State fitted on the customers of one half, applied to the other: unseen categories are all zero."""
+    rows = table(spark, sf_dir, "customer").withColumn("nation", F.col("c_nationkey").cast("string"))
+    learnt = rows.where("c_acctbal >= 5000 AND c_nationkey < 20")
+    spec = FeatureSpec(numeric=["c_acctbal"], categorical=["nation"], scaler="minmax")
+    encoded = FeatureEncoder(spec).fit(learnt).transform_array(rows.where("c_acctbal < 5000"), ["c_custkey"])
+    hot = F.slice("features", 2, 1000)
+    return rounded(
+        encoded.select(
+            "c_custkey", F.col("features")[0].alias("acctbal"), F.size("features").cast("long").alias("width"),
+            F.array_position(hot, 1.0).alias("place"),
+        )
+    )
+
+
+encode_other_rows_sql = f"""WITH l AS (SELECT * FROM customer WHERE c_acctbal >= 5000 AND c_nationkey < 20),
+m AS (SELECT min(c_acctbal) AS lo, max(c_acctbal) AS hi, count(DISTINCT c_nationkey)::BIGINT AS width FROM l),
+n AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS place FROM (SELECT DISTINCT c_nationkey::VARCHAR AS v FROM l))
+SELECT c_custkey, {sql_round("(c_acctbal - lo) / (hi - lo)", "acctbal")}, width, coalesce(place, 0) AS place
+FROM customer CROSS JOIN m LEFT JOIN n ON v = c_nationkey::VARCHAR WHERE c_acctbal < 5000"""
+
 # ---- density clustering -------------------------------------------------------------
 
 EPS, EPS_MANHATTAN, MIN_SAMPLES = 1.18, 7.4, 5
@@ -537,4 +582,7 @@ QUERIES = {
     "silhouette_per_cluster": (silhouette_per_cluster, silhouette_per_cluster_sql),
     "silhouette_samples": (silhouette_samples, silhouette_samples_sql),
     "evaluate_many": (evaluate_many, evaluate_many_sql),
+    "evaluate_one_without_noise": (evaluate_one_without_noise, evaluate_one_without_noise_sql),
+    "attach_labels": (attach_labels, attach_labels_sql),
+    "encode_other_rows": (encode_other_rows, encode_other_rows_sql),
 }
