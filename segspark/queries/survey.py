@@ -24,8 +24,8 @@ BRANDS = BrandSpec(focal=s.FOCAL, keep=s.KEEP)
 
 def merged(spark, sf_dir):
     """Demographics, need states, brand health, brand image and spending of one year."""
-    # Four tables are derived from the joined lines: join once, read four times.
-    rows = materialize(s.lines(spark, sf_dir))
+    # Four tables are derived from the joined lines: join once, read four times, three of them one year.
+    rows = materialize(s.lines(spark, sf_dir), "Year")
     image = cleaners.clean_brand_image(s.brand_images(rows), s.FOCAL)
     health = s.brandhealth(rows).withColumnsRenamed(
         {"Fre#visit": "Frequency_Visit", "NPS#P3M": "NPS_P3M"}

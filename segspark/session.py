@@ -30,9 +30,15 @@ def scratch_root(spark: SparkSession) -> str:
     return folder
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write the table once to the shared folder and continue from the files."""
+def materialize(df: DataFrame, partition_by: str | None = None) -> DataFrame:
+    """Write the table once to the shared folder and continue from the files.
+
+    With ``partition_by``, later filters on that column read only its files.
+    """
     spark = df.sparkSession
     path = f"{scratch_root(spark).rstrip('/')}/segspark/{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if partition_by is None:
+        df.write.mode("errorifexists").parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    df.write.mode("errorifexists").partitionBy(partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
