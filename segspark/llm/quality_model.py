@@ -198,14 +198,13 @@ def _table_of_statistics(df: DataFrame) -> DataFrame:
     return df.mapInArrow(run, "y int, x array<float>")
 
 
-def fit(df: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Forest:
-    """Learn from labelled rows (`label_col` 0 or 1), at most `sample` of them."""
-    labelled = df.filter(F.col(label_col).isin(0, 1)).select(
-        F.xxhash64(F.col(id_col).cast("string")).alias("key"), F.col(label_col).cast("int").alias("y"), F.col(text_col).cast("string").alias("body")
-    )
-    # Only keys are sorted; their texts follow by a join on at most `sample` keys.
-    keys = labelled.select("key").distinct().orderBy("key").limit(sample)
-    rows = labelled.join(F.broadcast(keys), "key", "left_semi").select("y", "body")
+def fit(df: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Forest:
+    """Learn from the rows of `df` that `labels` (`id_col`, `label_col` 0 or 1) covers, at most `sample` of them."""
+    known = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("key")).agg(F.max(label_col).cast("int").alias("y"))
+    # Ids are drawn from the labels alone; the texts of those that are drawn follow by a broadcast join.
+    keys = known.orderBy(F.xxhash64("key"), "key").limit(sample)
+    texts = df.select(F.col(id_col).alias("key"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("body"))
+    rows = texts.join(F.broadcast(keys), "key").groupBy("key", "y").agg(F.min("body").alias("body")).select("y", "body")
     learnt = _table_of_statistics(rows).toArrow()
     y = learnt["y"].to_numpy().astype(float)
     x = np.array(learnt["x"].to_pylist(), np.float32).reshape(len(y), len(STATISTICS))

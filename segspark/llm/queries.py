@@ -117,8 +117,7 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from segspark.llm.quality_model import fit, score
 
     docs, held_out = table(spark, sf_dir, "documents"), fold(F.col("doc_id"), 3) == 1
-    labels = table(spark, sf_dir, "labels").select("doc_id", "quality").filter(~held_out & F.col("quality").isNotNull())
-    forest = fit(docs.join(labels, "doc_id"))
+    forest = fit(docs, table(spark, sf_dir, "labels").filter(~held_out))
     return score(docs, forest).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
@@ -190,8 +189,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from segspark.llm.toxicity import fit, score
 
     docs, held_out = table(spark, sf_dir, "documents"), fold(F.col("doc_id"), 5) == 0
-    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(~held_out & F.col("toxic").isNotNull())
-    model = fit(docs.join(labels, "doc_id"), corpus=docs)
+    model = fit(docs, table(spark, sf_dir, "labels").filter(~held_out))
     return score(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 

@@ -201,27 +201,22 @@ def _document_features(df: DataFrame, letters: LetterModel, wanted: list[str] |
     return df.mapInArrow(run, "row_key long, y int, feature string")
 
 
-def fit(df: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", corpus: DataFrame | None = None, per_class: int = PER_CLASS) -> ToxicityModel:
-    """Learn from labelled rows (`label_col` 0 or 1); letter pairs from `corpus` (by default the rows themselves)."""
-    letters = LetterModel.of(count_letter_pairs(df if corpus is None else corpus, text_col))
-    labelled = df.filter(F.col(label_col).isin(0, 1)).select(
-        F.xxhash64(F.col(id_col).cast("string")).alias("row_key"), F.col(text_col).cast("string").alias("body"), F.col(label_col).cast("int").alias("y")
-    )
-    sizes = {r["y"]: r["count"] for r in labelled.groupBy("y").count().collect()}
-    if len(sizes) < 2:
-        return ToxicityModel(letters, {}, 30.0 if sizes.get(1) else -30.0)
-    # Only ids are sorted; the texts of the chosen rows follow by a join on at most 2 * per_class keys.
-    keys = None
-    for y in (0, 1):
-        own = labelled.filter(F.col("y") == y).select("row_key").distinct().orderBy("row_key").limit(per_class)
-        keys = own if keys is None else keys.unionAll(own)
-    sample = materialize(labelled.join(F.broadcast(keys.distinct()), "row_key", "left_semi").repartition(16, "row_key"))
+def fit(df: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", per_class: int = PER_CLASS) -> ToxicityModel:
+    """Learn from the rows of `df` that `labels` (`id_col`, `label_col` 0 or 1) covers; letter pairs from all rows of `df`."""
+    letters = LetterModel.of(count_letter_pairs(df, text_col))
+    known = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("key")).agg(F.max(label_col).cast("int").alias("y"))
+    sizes = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
+    # Ids are drawn from the labels alone; the texts of the few that are drawn follow by a broadcast join.
+    keys = [known.filter(F.col("y") == y).orderBy(F.xxhash64("key"), "key").limit(per_class) for y in (0, 1)]
+    texts = df.select(F.col(id_col).alias("key"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("body"))
+    sample = texts.join(F.broadcast(keys[0].unionAll(keys[1])), "key").groupBy("key", "y").agg(F.min("body").alias("body"))
+    sample = materialize(sample.select(F.xxhash64(F.col("key").cast("string")).alias("row_key"), "body", "y").repartition(16, "row_key"))
     drawn = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
     if len(drawn) < 2:
         return ToxicityModel(letters, {}, 30.0 if drawn.get(1) else -30.0)
 
     in_toxic = _document_features(sample.filter("y = 1"), letters, None).groupBy("feature").agg(F.count(F.lit(1)).alias("n")).filter("n >= 3")
-    frequent = [r["feature"] for r in in_toxic.orderBy(F.desc("n"), "feature").limit(50 * MOST_FEATURES).collect()]
+    frequent = [r["feature"] for r in in_toxic.orderBy(F.desc("n"), "feature").limit(10 * MOST_FEATURES).collect()]
     found = materialize(_document_features(sample, letters, frequent))
     counted = found.groupBy("feature").agg(F.count_if(F.col("y") == 1).alias("a"), F.count_if(F.col("y") == 0).alias("b")).collect()
     chosen = []

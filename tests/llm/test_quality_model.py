@@ -51,10 +51,10 @@ def test_held_out_accuracy(spark):
 
 def test_odd_rows(spark):
     df = odd_documents(spark)
-    assert {r["score"] for r in score(df, fit(df.withColumn("quality", F.lit(None).cast("int")))).collect()} == {0.5}
-    assert {round(r["score"], 6) for r in score(df, fit(df.withColumn("quality", F.lit(0)))).collect()} == {0.0}
-    both = fit(df.withColumn("quality", (F.coalesce("doc_id", F.lit(0)) % 2).cast("int")))
+    assert {r["score"] for r in score(df, fit(df, df.withColumn("quality", F.lit(None).cast("int")))).collect()} == {0.5}
+    assert {round(r["score"], 6) for r in score(df, fit(df, df.withColumn("quality", F.lit(0)))).collect()} == {0.0}
+    both = fit(df, df.withColumn("quality", (F.coalesce("doc_id", F.lit(0)) % 2).cast("int")))
     out = score(df, both)
     assert ids(out) == ODD_IDS and out.filter("score IS NULL OR score < 0 OR score > 1").isEmpty()
     assert score(df.limit(0), both).isEmpty()
-    assert fit(df.limit(0).withColumn("quality", F.lit(1))).intercept == 0.0
+    assert fit(df.limit(0), df.withColumn("quality", F.lit(1))).intercept == 0.0

@@ -78,7 +78,8 @@ def test_hidden_words_score_as_plain_ones(spark):
         if i % 3 == 0:
             text[random.randrange(30)] = random.choice(words)
         rows.append((i, " ".join(text), int(i % 3 == 0)))
-    model = fit(spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
+    learnt = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = fit(learnt.drop("toxic"), learnt.drop("text"))
     asked = ["the green 1d10t hill", "an old m0r0n", "a $tuuuupid town", "the i d i o t runs", "the green hill", "old town 2024", None, ""]
     got = {r["doc_id"]: r["score"] for r in score(spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string"), model).collect()}
     assert all(got[i] >= 0.5 for i in range(4)) and all(got[i] < 0.5 for i in range(4, 8))
@@ -86,12 +87,12 @@ def test_hidden_words_score_as_plain_ones(spark):
 
 def test_odd_rows(spark):
     df = odd_documents(spark)
-    blank = fit(df.withColumn("toxic", F.lit(None).cast("int")))
+    blank = fit(df, df.withColumn("toxic", F.lit(None).cast("int")))
     assert {round(r["score"], 6) for r in score(df, blank).collect()} == {0.0}
-    one = fit(df.withColumn("toxic", F.lit(1)))
+    one = fit(df, df.withColumn("toxic", F.lit(1)))
     assert {round(r["score"], 6) for r in score(df, one).collect()} == {1.0}
-    both = fit(df.withColumn("toxic", (F.coalesce("doc_id", F.lit(0)) % 2).cast("int")))
+    both = fit(df, df.withColumn("toxic", (F.coalesce("doc_id", F.lit(0)) % 2).cast("int")))
     out = score(df, both)
     assert ids(out) == ODD_IDS and out.filter("score IS NULL OR score < 0 OR score > 1").isEmpty()
     assert score(df.limit(0), both).isEmpty()
-    assert fit(df.limit(0).withColumn("toxic", F.lit(1))).weights == {}
+    assert fit(df.limit(0), df.withColumn("toxic", F.lit(1))).weights == {}
