@@ -30,6 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from segspark.llm.id_filter import split_by_bitmap
 from segspark.session import materialize
 
 SHARE = 1 / 256
@@ -99,24 +100,26 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def drop_exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", share: float = SHARE, counters: int = COUNTERS) -> DataFrame:
-    """The rows of `df`, all columns, that stay. Only ids and digests of the rows that go are joined to it."""
+    """The rows of `df`, all columns, that stay. Only rows whose id a bitmap finds among those that go are shuffled."""
     marked = materialize(exact_duplicates(df, id_col, text_col, share, counters))
     keys = [F.col(id_col).alias("gone_id"), F.col("text_sha256").alias("gone_digest")]
     kept = marked.filter("kept")
     # A key may both stay and go only where whole rows are repeated; those are settled below.
-    gone = marked.filter("not kept").select(*keys).distinct()
+    gone = materialize(marked.filter("not kept").select(*keys).distinct())
     twice = gone.join(kept.select(F.col(id_col).alias("k"), F.col("text_sha256").alias("d")),
                       F.col("gone_id").eqNullSafe(F.col("k")) & (F.col("gone_digest") == F.col("d")), "left_semi")
     twice = materialize(twice)
 
-    keyed = df.select(F.struct("*").alias("row"), F.col(id_col).alias("row_id"), text_digest(F.col(text_col)).alias("digest"))
+    rows = df.select(F.struct("*").alias("row"), F.col(id_col).alias("row_id"))
+    sure, unsure = split_by_bitmap(rows, "row_id", gone.select("gone_id"))
+    keyed = unsure.withColumn("digest", text_digest(F.col("row").getField(text_col)))
 
     def matches(other: DataFrame) -> Column:
         return keyed["row_id"].eqNullSafe(other["gone_id"]) & (keyed["digest"] == other["gone_digest"])
 
-    stay = keyed.join(gone, matches(gone), "left_anti")
+    stay = sure.select("row").unionByName(keyed.join(gone, matches(gone), "left_anti").select("row"))
     if not twice.isEmpty():
         again = keyed.join(twice, matches(twice), "left_semi")
         longest = again.groupBy("row_id", "digest").agg(F.max_by("row", F.length(F.col("row").getField(text_col))).alias("row"))
-        stay = stay.select("row").unionByName(longest.select("row"))
+        stay = stay.unionByName(longest.select("row"))
     return stay.select("row.*")
