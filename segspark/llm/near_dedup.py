@@ -41,12 +41,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from segspark.llm.id_filter import split_by_bitmap
 from segspark.llm.text_arrays import Rolling, Slice, byte_hashes, mix, slices, words
 from segspark.session import materialize
 
 SHINGLE, PERCENT = 5, 80
 ROWS, MISS = 6, 1e-5
-BATCH, BLOCK = 48, 256
+BATCH, BLOCK = 48, 1024
 BITMAP_BITS = 1 << 23
 
 
@@ -277,8 +278,8 @@ def _blocks(members: DataFrame, roots: DataFrame) -> DataFrame:
 def _meet(rows: DataFrame, needed: list[tuple[int, int]], percent: int | None) -> DataFrame:
     """Compare the members of each meeting (key, x, y) that lie in different components.
 
-    Without `percent`, returns the members (key, x, y, node, root) that have a surviving partner;
-    with it, confirmed links (u, v).
+    Without `percent`, returns the members (key, x, y, node, root, sig) that have a surviving
+    partner; with it, confirmed links (u, v).
     """
     fields = ["key", "x", "y", "node", "root", "sig", *([] if percent is None else ["items"])]
     sorted_rows = rows.select(fields).repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "node")
@@ -312,7 +313,7 @@ def _meet(rows: DataFrame, needed: list[tuple[int, int]], percent: int | None) -
             if not found:
                 return None
             if percent is None:
-                return table.select(fields[:5]).take([i for (i,) in found]).combine_chunks().to_batches()[0]
+                return table.take([i for (i,) in found]).combine_chunks().to_batches()[0]
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["u", "v"])
 
         for batch in batches:
@@ -337,7 +338,7 @@ def _meet(rows: DataFrame, needed: list[tuple[int, int]], percent: int | None) -
             if out:
                 yield out
 
-    return sorted_rows.mapInArrow(run, "u long, v long" if percent is not None else "key long, x long, y long, node long, root long")
+    return sorted_rows.mapInArrow(run, "u long, v long" if percent is not None else "key long, x long, y long, node long, root long, sig binary")
 
 
 def near_duplicates(
@@ -365,12 +366,10 @@ def near_duplicates(
 
     roots = materialize(components(links))
     blocks = _blocks(members.filter("c > 2").select("key", "node"), roots)
-    sig = nodes.select("node", "sig")
-    left = materialize(_meet(blocks.join(sig, "node"), needed, None))
+    left = materialize(_meet(blocks.join(nodes.select("node", "sig"), "node"), needed, None))
     if not left.isEmpty():
         wanted = nodes.join(left.select("node").distinct(), "node", "left_semi").select("node", *key, "rep")
-        full = left.join(sig, "node").join(_sets_of(source, wanted, size), "node")
-        more = materialize(_meet(full, needed, percent))
+        more = materialize(_meet(left.join(_sets_of(source, wanted, size), "node"), needed, percent))
         if not more.isEmpty():
             roots = materialize(components(links.unionAll(more)))
 
@@ -386,7 +385,9 @@ def near_duplicates(
 
 
 def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """The rows of `df`, all columns, of one document per group. Only ids of documents that go are joined to it."""
+    """The rows of `df`, all columns, of one document per group. Only rows whose id a bitmap finds among those that go are shuffled."""
     gone = materialize(near_duplicates(df, id_col, text_col, **how).filter("not kept").select(F.col(id_col).alias("gone_id")).distinct())
     rows = df.select(F.struct("*").alias("row"), F.col(id_col).alias("row_id"))
-    return rows.join(gone, rows["row_id"].eqNullSafe(gone["gone_id"]), "left_anti").select("row.*")
+    sure, unsure = split_by_bitmap(rows, "row_id", gone)
+    stay = unsure.join(gone, unsure["row_id"].eqNullSafe(gone["gone_id"]), "left_anti")
+    return sure.select("row").unionByName(stay.select("row")).select("row.*")
