@@ -26,15 +26,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segspark.llm.piece_cache import PieceCache, gather, worker_state
+from segspark.llm.piece_cache import PieceCache, gather, give_back, worker_state
 
-SLICE_CHARS = 1 << 19
+SLICE_CHARS = 1 << 18
 
 
 class Vocabulary:
     """Ranks of byte strings, the pair test they imply, and the bytes of each id."""
 
-    def __init__(self, lines: bytes, most_pairs: int = 1_000_000):
+    def __init__(self, lines: bytes, most_pairs: int = 400_000):
         self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines.splitlines())}
         self.tokens = {i: t for t, i in self.ranks.items()}
         self.longest = max(map(len, self.ranks))
@@ -248,6 +248,7 @@ def encode(df: DataFrame, vocabulary_path: str, pattern: str, outputs: list[str]
                 ids, bounds = encoder.encode(texts)
                 columns = [_output(name, encoder.vocabulary, ids, bounds) for name in outputs]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(texts)), *columns], names=["row_key", *outputs])
+            give_back()
 
     schema = ", ".join([f"row_key {kind}", *(f"{name} {OUTPUTS[name]}" for name in outputs)])
     return source.mapInArrow(run, schema).withColumnRenamed("row_key", id_col)

@@ -42,6 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from segspark.llm.id_filter import split_by_bitmap
+from segspark.llm.piece_cache import give_back
 from segspark.llm.text_arrays import Rolling, Slice, byte_hashes, mix, slices, words
 from segspark.session import materialize
 
@@ -134,6 +135,7 @@ def _describe(df: DataFrame, size: int, rows: int, bands: int) -> DataFrame:
                     ],
                     names=["row_id", "n", "h1", "h2", "bands", "sig"],
                 )
+            give_back()
 
     return df.mapInArrow(run, f"row_id {kind}, n long, h1 long, h2 long, bands array<long>, sig binary")
 
@@ -201,6 +203,7 @@ def _sets_of(df: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
                     [batch.column(0).slice(part.first, len(part)), pa.array(np.diff(bounds), pa.int64()), pa.array(h1), pa.array(h2), pa.array(items, pa.binary())],
                     names=["row_id", "n", "h1", "h2", "items"],
                 )
+            give_back()
 
     found = source.mapInArrow(run, f"row_id {kind}, n long, h1 long, h2 long, items binary")
     keyed = found.join(wanted, (found["h1"] == wanted["h1"]) & (found["h2"] == wanted["h2"]) & (found["n"] == wanted["n"]) & found["row_id"].eqNullSafe(wanted["rep"]))
@@ -220,6 +223,7 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 if similar(np.frombuffer(a[i].as_buffer(), np.uint64), np.frombuffer(b[i].as_buffer(), np.uint64), percent)
             ]
             yield batch.select([0, 1]).take(pa.array(keep, pa.int64()))
+            give_back()
 
     return pairs.join(v, "v").join(u, "u").select("u", "v", "items_u", "items_v").mapInArrow(run, "u long, v long")
 

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from segspark.llm.bpe import text_slices
-from segspark.llm.piece_cache import PieceCache, worker_state
+from segspark.llm.piece_cache import PieceCache, give_back, worker_state
 
 CAPACITY = 2048
 #: Sequences of one partition have ids from partition * SEQUENCES on.
@@ -57,7 +57,7 @@ _WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?#*$%&|]*)")
 class ChunkEncoder:
     """Ids of chunks. Words are encoded once whatever their case and the signs after them."""
 
-    def __init__(self, tokenizer, most: int = 400_000):
+    def __init__(self, tokenizer, most: int = 150_000):
         self.tokenizer, self.most = tokenizer, most
         self.known: dict[str, list[int]] = {}
 
@@ -178,10 +178,11 @@ def pack(
                     tokens = np.append(ids[bounds[i] : bounds[i + 1]], np.int32(end_id))
                     start = 0
                     for length in cuts(len(tokens), capacity):
-                        rows += bins.add((keys[first + i], start, tokens[start : start + length], len(tokens)))
+                        rows += bins.add((keys[first + i], start, tokens[start : start + length].copy(), len(tokens)))
                         start += length
                 if rows:
                     yield table(rows, kind_of_key)
+            give_back()
         if bins.open:
             yield table(bins.rest(), kind_of_key)
 

@@ -6,12 +6,15 @@ one after another in a flat array; a batch becomes an array of piece numbers, an
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import itertools
 import sys
 import types
 from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
 
 
 def worker_state() -> dict:
@@ -19,6 +22,13 @@ def worker_state() -> dict:
     return sys.modules.setdefault("_segspark_worker_state", types.ModuleType("_segspark_worker_state")).__dict__
 
 
+def give_back():
+    """Return freed memory to the system; allocators would keep it while the worker idles beside the JVM."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only some C libraries have it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def gather(flat: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
     """flat[start[0]:start[0]+length[0]], flat[start[1]:...], ... as one array."""
     ends = np.cumsum(length)
@@ -33,7 +43,7 @@ class PieceCache:
     Frequent pieces come early, so most of them stay. Results never depend on what is held.
     """
 
-    def __init__(self, encode: Callable[[list], list], most: int = 600_000):
+    def __init__(self, encode: Callable[[list], list], most: int = 300_000):
         self.encode, self.most = encode, most
         self.number: dict = {}
         self.flat = np.zeros(1 << 16, np.int32)

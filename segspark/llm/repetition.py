@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from segspark.llm.piece_cache import give_back
 from segspark.llm.text_arrays import Rolling, Slice, byte_hashes, code_points, lines, mix, repeated, slices, words
 
 # Per length in words, the percentage of a text's word characters that may lie in
@@ -63,6 +64,7 @@ def repetition_statistics(df: DataFrame, id_col: str = "doc_id", text_col: str =
                 [batch.column(0), *(pa.array(columns[k], pa.int64()) for k in names), pa.array(base), pa.array(kept)],
                 names=["row_key", *names, "base_failed", "kept"],
             )
+            give_back()
 
     schema = f"row_key {kind}, {', '.join(f'{k} long' for k in names)}, base_failed boolean, kept boolean"
     out = source.mapInArrow(run, schema)
@@ -138,5 +140,6 @@ def repetition_filter(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
             kept = [judge(measure(part, rules), rules)[1] for part in slices(batch.column(at))]
             if kept:
                 yield batch.filter(pa.array(np.concatenate(kept)))
+            give_back()
 
     return df.mapInArrow(run, schema)
