@@ -27,7 +27,8 @@ Nothing is capped or sampled. Results for odd cases: a null text counts as empty
 has the empty set and is linked with nothing, also not with other empty ones. With fewer words than a
 shingle, the whole sequence is the one shingle. Ties need no rule: similarity is compared as integers.
 Rows that are repeated, id included, are one document with several rows. A null id takes part, but names
-no group unless all its documents have none. An empty table gives an empty result. Only id and text are
+no group unless all its documents have none. Rows of one id with different texts go or stay each by its
+own text. An empty table gives an empty result. Only id and text are
 read into names of our own, so other columns cannot clash.
 """
 
@@ -345,10 +346,8 @@ def _meet(rows: DataFrame, needed: list[tuple[int, int]], percent: int | None) -
     return sorted_rows.mapInArrow(run, "u long, v long" if percent is not None else "key long, x long, y long, node long, root long, sig binary")
 
 
-def near_duplicates(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, percent: int = PERCENT, rows: int = ROWS, miss: float = MISS,
-) -> DataFrame:
-    """One row per row of `df`: id, n_shingles, component_id (smallest id of the group), kept."""
+def _marked(df: DataFrame, id_col: str, text_col: str, size: int = SHINGLE, percent: int = PERCENT, rows: int = ROWS, miss: float = MISS) -> DataFrame:
+    """(row_id, h1, h2, n, component, kept) per row of `df`; rows of one id and one set share their fate."""
     bands = bands_for(percent, rows, miss)
     needed = least_matches(rows * bands, percent, miss)
     source = df.select(F.col(id_col).alias("row_id"), F.col(text_col).cast("string").alias("body"))
@@ -382,16 +381,50 @@ def near_duplicates(
     classes = named.join(least, "root", "left").select(*key, F.when(F.col("root").isNull(), F.col("rep")).otherwise(F.col("first")).alias("component"))
     out = described.select("row_id", *key).join(classes, key, "left")
     component = F.when(F.col("n") == 0, F.col("row_id")).otherwise(F.col("component"))
-    return out.select(
-        F.col("row_id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
-        F.col("row_id").eqNullSafe(component).alias("kept"),
+    return out.select("row_id", *key, component.alias("component"), F.col("row_id").eqNullSafe(component).alias("kept"))
+
+
+def near_duplicates(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, percent: int = PERCENT, rows: int = ROWS, miss: float = MISS,
+) -> DataFrame:
+    """One row per row of `df`: id, n_shingles, component_id (smallest id of the group), kept."""
+    return _marked(df, id_col, text_col, size, percent, rows, miss).select(
+        F.col("row_id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), "kept"
     )
 
 
+def _set_key(size: int):
+    """Function of a text column: (h1, h2, n) of its set."""
+
+    def run(texts: pa.Array) -> pa.Array:
+        found = []
+        for part in slices(texts):
+            hashes, bounds = shingle_sets(part, size)
+            h1, h2 = set_hashes(hashes, bounds)
+            found.append(np.stack([h1, h2, np.diff(bounds)]))
+        columns = np.concatenate([np.zeros((3, 0), np.int64), *found], axis=1)
+        return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["h1", "h2", "n"])
+
+    return F.arrow_udf(run, "h1 long, h2 long, n long")
+
+
 def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """The rows of `df`, all columns, of one document per group. Only rows whose id a bitmap finds among those that go are shuffled."""
-    gone = materialize(near_duplicates(df, id_col, text_col, **how).filter("not kept").select(F.col(id_col).alias("gone_id")).distinct())
+    """The rows of `df`, all columns, of one document per group. Only rows whose id a bitmap finds among those that go are shuffled.
+
+    An id (null is one) may stand for several texts, of which some go: its rows are told apart by their sets.
+    """
+    marked = materialize(_marked(df, id_col, text_col, **how))
+    fates = marked.groupBy(F.col("row_id").alias("gone_id")).agg(F.bool_and("kept").alias("all"), F.bool_or("kept").alias("some"))
+    fates = materialize(fates.filter("NOT all"))
     rows = df.select(F.struct("*").alias("row"), F.col(id_col).alias("row_id"))
-    sure, unsure = split_by_bitmap(rows, "row_id", gone)
+    sure, unsure = split_by_bitmap(rows, "row_id", fates.select("gone_id"))
+    gone = fates.filter("NOT some")
     stay = unsure.join(gone, unsure["row_id"].eqNullSafe(gone["gone_id"]), "left_anti")
+    torn = fates.filter("some").select("gone_id")
+    if not torn.isEmpty():
+        parts = marked.filter("NOT kept").join(torn, F.col("row_id").eqNullSafe(F.col("gone_id")), "left_semi")
+        parts = materialize(parts.select(F.col("row_id").alias("gone_id"), F.struct("h1", "h2", "n").alias("gone_set")).distinct())
+        key = _set_key(how.get("size", SHINGLE))(F.col("row").getField(text_col).cast("string"))
+        keyed = stay.withColumn("set", key)
+        stay = keyed.join(parts, keyed["row_id"].eqNullSafe(parts["gone_id"]) & (keyed["set"] == parts["gone_set"]), "left_anti")
     return sure.select("row").unionByName(stay.select("row")).select("row.*")

@@ -113,3 +113,12 @@ def test_odd_rows(spark):
     assert near_duplicates(df.limit(0)).isEmpty() and drop_near_duplicates(df.limit(0)).isEmpty()
     only_empty = df.filter("doc_id = 1")
     assert near_duplicates(only_empty).first()["component_id"] == 1
+
+
+def test_rows_that_share_an_id_go_by_their_own_text(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    near = text + " more"
+    rows = [(1, text), (None, near), (None, "a lonely text that nothing is like"), (None, None), (5, near + " still"), (5, "another text of the same id"), (5, near)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = [tuple(r) for r in drop_near_duplicates(df).collect()]
+    assert sorted(kept, key=str) == sorted([rows[0], rows[2], rows[3], rows[5]], key=str)
