@@ -3,7 +3,9 @@
 Words are hidden by writing letters as digits or signs, by signs or spaces between letters, and by
 repeating letters. For every such token a lattice of what each character may stand for is decoded by
 Viterbi under a letter-pair model of the corpus; the score then looks at restored words only, those of
-the few likeliest readings (letter pairs alone cannot always tell "ldiot" from "idiot").
+the few likeliest readings (letter pairs alone cannot always tell "ldiot" from "idiot"). Signs at a
+word's edge that may be letters are read both ways, two equal letters also as one, and between spaced
+letters a word may end anywhere. Digits alone are a number.
 
 * The letter-pair model counts all letter pairs of all documents (pre-aggregated in tasks; at most
   `MOST_PAIRS` pairs are collected, the most frequent).
@@ -51,8 +53,14 @@ LEET = {
 READ, DROP, BREAK, DROP_LETTER, SHORTEN = 0.5, 1.0, 2.5, 6.0, 0.5
 READINGS = 6
 EDGE = ".,;:!?#*%&|<>()[]{}\"'`~^-_=+/\\$…«»“”’"
+SIGNS = "".join(c for c in LEET if not c.isdigit())  # signs that may be letters, also at a token's edge
+NO_LETTER = "".join(c for c in EDGE if c not in SIGNS)
 _RUN = re.compile(r"([^\W\d_])\1\1")
+_PAIR = re.compile(r"([^\W\d_])\1")
 _SPACED = re.compile(r"(?<![^\W_])[^\W_](?:[ .\-_*][^\W_]){2,}(?![^\W_])")
+_LETTER = rf"(?:[^\W_]|[{re.escape(SIGNS)}])"
+_GAP = re.compile(r"[\s.\-_*]+")
+_SPACED_WIDE = re.compile(rf"(?<![^\W_]){_LETTER}(?:[\s.\-_*]+{_LETTER}){{2,}}(?![^\W_])")
 
 
 @dataclass
@@ -77,25 +85,31 @@ class LetterModel:
         return -self.pairs.get((a, b), self.rare.get(a, -12.0))
 
 
-def lattice(token: str) -> list[list[tuple[str, float]]]:
-    """Per run of equal characters: what it may stand for ('' nothing, ' ' a word's end) and at what cost."""
+def lattice(token: str, pairs: bool = True) -> list[list[tuple[str, float]]]:
+    """Per run of equal characters: what it may stand for ('' nothing, ' ' a word's end) and at what cost.
+
+    With `pairs`, two equal letters may stand for one. Signs at the token's edges are dropped like other signs.
+    """
     out = []
+    first, last = len(token) - len(token.lstrip(SIGNS)), len(token.rstrip(SIGNS))
     for run in re.finditer(r"(.)\1*", token, re.S):
         c, n = run[1], len(run[0])
         if c.isalpha():
-            out.append([(c * n, 0.0)] if n < 3 else [(c, SHORTEN), (c * 2, SHORTEN)])
+            once = [(c, SHORTEN)] * (pairs or n > 2)
+            out.append([(c * n, 0.0)] + once * (n == 2) if n < 3 else once + [(c * 2, SHORTEN)])
             continue
-        choices = [("", DROP_LETTER), (" ", DROP_LETTER)] if c in LEET else [("", DROP), (" ", BREAK)]
+        inside = first <= run.start() < last
+        choices = [("", DROP_LETTER), (" ", DROP_LETTER)] if c in LEET and inside else [("", DROP), (" ", BREAK)]
         for letter in LEET.get(c, ""):
             choices += [(letter, READ)] + [(letter * 2, READ)] * (n > 1)
         out.append(choices)
     return out
 
 
-def decode(token: str, model: LetterModel, readings: int = READINGS) -> list[str]:
+def decode(token: str, model: LetterModel, readings: int = READINGS, pairs: bool = True) -> list[str]:
     """The cheapest readings of a token, best first (Viterbi with that many paths per state); words are separated by a space."""
     best: dict[str, list[tuple]] = {"": [(0.0, None)]}
-    for choices in lattice(token):
+    for choices in lattice(token, pairs):
         after: dict[str, list[tuple]] = {}
         for state, paths in best.items():
             for text, extra in choices:
@@ -124,19 +138,38 @@ def _cost(path: tuple) -> float:
 
 
 def restore(token: str, model: LetterModel) -> list[str]:
-    """The words of a lower-case token without white space: of all its likely readings, if it needs decoding."""
-    core = token.rstrip(EDGE).lstrip(EDGE.replace("$", "").replace("!", "").replace("|", ""))
-    if not any(c.isalpha() for c in core):
+    """The words of a lower-case token without white space: of all its likely readings, if it needs decoding.
+
+    Signs at the edges that may be letters are read both ways, as are two equal letters. Digits alone are a number.
+    """
+    core = token.strip(NO_LETTER)
+    if not any(c.isalpha() or c in SIGNS for c in core):
         return []
-    if core.isalpha() and not _RUN.search(core):
-        return [core]
-    return list(dict.fromkeys(w for reading in decode(core, model) for w in reading.split()))
+    bare = token.rstrip(EDGE).lstrip(EDGE.replace("$", "").replace("!", "").replace("|", ""))
+    found: list[str] = []
+    if bare.isalpha() and not _RUN.search(bare):
+        found = [bare]
+    elif any(c.isalpha() for c in bare):
+        found = decode(bare, model, pairs=False)
+    if core != bare or _PAIR.search(core):
+        found = found + decode(core, model)
+    return list(dict.fromkeys(w for reading in found for w in reading.split()))
+
+
+def _segments(run: str) -> list[str]:
+    """All words that neighbouring letters of a spaced run form, as long as beginnings look at and one letter more, each up to three times.
+
+    Letter pairs cannot tell where words end here, so every end is offered; of longer words the beginnings are seen.
+    """
+    letters, most = re.sub(r"(.)\1{3,}", r"\1\1\1", _GAP.sub("", run)), 3 * (BEGINNINGS[-1] + 1)
+    return [letters[i:j] for i in range(len(letters) - 1) for j in range(i + 2, min(i + most, len(letters)) + 1)]
 
 
 def tokens(text: str) -> list[str]:
     """Lower-case tokens, and those that single letters with spaces or signs between them may form."""
     lowered = text.lower()
-    return lowered.split() + [re.sub(r"[ .\-_*]", "", m[0]) for m in _SPACED.finditer(lowered)]
+    joined = [re.sub(r"[ .\-_*]", "", m[0]) for m in _SPACED.finditer(lowered)]
+    return lowered.split() + joined + [w for m in _SPACED_WIDE.finditer(lowered) for w in _segments(m[0])]
 
 
 def word_features(word: str) -> list[str]:

@@ -96,3 +96,19 @@ def test_odd_rows(spark):
     assert ids(out) == ODD_IDS and out.filter("score IS NULL OR score < 0 OR score > 1").isEmpty()
     assert score(df.limit(0), both).isEmpty()
     assert fit(df.limit(0), df.withColumn("toxic", F.lit(1))).weights == {}
+
+
+@pytest.mark.parametrize("hidden,word", [
+    ("a$$", "ass"), ("4$$", "ass"), ("sh!+", "shit"), ("ki||", "kill"), ("(lown", "clown"), ("stuupid", "stupid"), ("idiiot", "idiot"),
+    ("idiot!!", "idiot"), ("mississippi", "mississippi"), ("mississippi!", "mississippi"),
+])
+def test_signs_at_the_edge_and_pairs_are_read_both_ways(letters, hidden, word):
+    assert word in restore(hidden, letters)
+
+
+@pytest.mark.parametrize("text,word", [
+    ("a m o r o n", "moron"), ("y o u a r e a n i d i o t o k", "idiot"), ("y o u  i d i o t", "idiot"), ("i  d  i  o  t", "idiot"),
+    ("m . o . r . o . n", "moron"), ("$ t u p ! d", "stupid"), ("1 d 1 0 t !", "idiot"), ("y o u m m m m m o o o o r o n n n n", "moron"),
+])
+def test_a_word_may_end_anywhere_between_spaced_letters(letters, text, word):
+    assert word in {w for t in tokens(text) for w in restore(t, letters)}
