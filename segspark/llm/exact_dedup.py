@@ -120,6 +120,6 @@ def drop_exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
     stay = sure.select("row").unionByName(keyed.join(gone, matches(gone), "left_anti").select("row"))
     if not twice.isEmpty():
         again = keyed.join(twice, matches(twice), "left_semi")
-        longest = again.groupBy("row_id", "digest").agg(F.max_by("row", F.length(F.col("row").getField(text_col))).alias("row"))
+        longest = again.groupBy("row_id", "digest").agg(F.max_by("row", F.coalesce(F.length(F.col("row").getField(text_col).cast("string")), F.lit(-1))).alias("row"))
         stay = stay.unionByName(longest.select("row"))
     return stay.select("row.*")

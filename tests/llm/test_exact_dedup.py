@@ -66,3 +66,9 @@ def test_odd_rows(spark):
     assert kept.columns == df.columns and kept.count() == len(by)
     assert ids(kept) == [2, 3, 4, 5, 6, 8, None]
     assert exact_duplicates(df.limit(0)).isEmpty() and drop_exact_duplicates(df.limit(0)).isEmpty()
+
+
+def test_repeated_rows_with_null_text_keep_their_columns(spark):
+    rows = [(1, None, "x"), (1, None, "x"), (2, "some text", "y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(2)
+    assert sorted(tuple(r) for r in drop_exact_duplicates(df).collect()) == [(1, None, "x"), (2, "some text", "y")]
