@@ -193,6 +193,96 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segspark.llm.sharding import even_tree, placed_documents
+
+    placed = placed_documents(table(spark, sf_dir, "documents"), even_tree())
+    return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+def _op11_sql() -> str:
+    from segspark.llm.sharding import BITS, even_tree, leaves, with_new_region
+
+    def draw(path: str, weight: float) -> str:
+        drawn = f"('0x' || substr(md5(k || '/{path}'), 1, {BITS // 4}))::BIGINT"
+        return f"-ln(({drawn} + 0.5) / {1 << BITS}.0) / {float(weight)}"
+
+    def descent(tree: list, name: str) -> str:
+        """CTEs `{name}0`, ...: one level each, `reached` being the path reached or `=shard`."""
+        levels, nodes, path_of = [], [("", tree)], "SELECT *, '' AS reached FROM sized"
+        while nodes:
+            draws = " ".join(f"WHEN '{path}' THEN [{', '.join(draw(f'{path}{i}', sum(w for _, w in leaves(c))) for i, c in enumerate(node))}]" for path, node in nodes)
+            ends = [(path, [f"={c[0]}" if isinstance(c, tuple) else f"{path}{i}." for i, c in enumerate(node)]) for path, node in nodes]
+            steps = " ".join(f"WHEN '{path}' THEN ([{', '.join(map(repr, to))}])[list_position(d, list_min(d))]" for path, to in ends)
+            levels.append(f"{name}{len(levels)} AS (SELECT * EXCLUDE (reached, d), coalesce(CASE reached {steps} END, reached) AS reached FROM (SELECT *, CASE reached {draws} END AS d FROM ({path_of})))")
+            path_of = f"SELECT * FROM {name}{len(levels) - 1}"
+            nodes = [(f"{path}{i}.", c) for path, node in nodes for i, c in enumerate(node) if isinstance(c, list)]
+        return ", ".join(levels) + f", {name} AS (SELECT *, substr(reached, 2)::INTEGER AS {name}_shard FROM {name}{len(levels) - 1})"
+
+    return f"""WITH bits AS (
+      SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS remainder),
+    sized AS MATERIALIZED (
+      SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id::VARCHAR, '') AS k, strlen(coalesce(text, ''))::BIGINT + 1 AS size,
+        xor(list_reduce([4294967295] || list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT),
+          lambda c, b: xor(c >> 8, remainder[1 + (xor(c, b) & 255)])), 4294967295) AS text_crc32
+      FROM documents, bits),
+    {descent(even_tree(), "now")}, {descent(with_new_region(even_tree()), "later")}
+    SELECT now.doc_id, now.size, now.text_crc32, 'key' AS law, now_shard AS shard,
+      row_number() OVER (PARTITION BY now_shard ORDER BY now.doc_id NULLS FIRST, now.size, now.text_crc32) - 1 AS slot,
+      later_shard AS grown_shard
+    FROM now JOIN later USING (r)"""
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segspark.llm.vector_codes import fit, with_label_error
+    from segspark.session import materialize
+
+    vectors = table(spark, sf_dir, "embeddings")
+    codec = fit(vectors)
+    coded = with_label_error(materialize(codec.encode(vectors, keep=["label"])))
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(codec.sha256()).alias("codebooks_sha256"))
+
+
+def _op12_sql() -> str:
+    from segspark.llm.vector_codes import ENTRIES, PARTS, ROUNDS, SCALE
+
+    width = f"(dim // {PARTS})"
+    steps = ", ".join(
+        f"""found{i} AS MATERIALIZED (
+      SELECT r, part, min(({{near}})::BIGINT * {ENTRIES} + entry) AS best FROM parts JOIN book{i} b USING (part) GROUP BY r, part)"""
+        + (f""", book{i + 1} AS MATERIALIZED (
+      SELECT part, entry, coalesce(m.vec, b.vec) AS vec FROM book{i} b LEFT JOIN (
+        SELECT part, entry, list((s - ((s % n) + n) % n) // n ORDER BY j) AS vec FROM (
+          SELECT part, (best % {ENTRIES})::BIGINT AS entry, j, sum(vec[j])::BIGINT AS s, count(*) AS n
+          FROM found{i} JOIN parts USING (r, part), unnest(range(1, len(vec) + 1)) t(j) GROUP BY part, best % {ENTRIES}, j)
+        GROUP BY part, entry) m USING (part, entry))""" if i < ROUNDS else "")
+        for i in range(ROUNDS + 1)
+    ).replace("{near}", "list_inner_product(parts.vec, parts.vec) - 2 * list_inner_product(parts.vec, b.vec) + list_inner_product(b.vec, b.vec)")
+    return f"""WITH kept AS (
+      SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) - 1 AS r, vec_id, label, len(embedding) AS dim,
+        list_transform(embedding, lambda x: floor({SCALE} * x)::BIGINT) AS v
+      FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    parts AS MATERIALIZED (
+      SELECT r, part, v[part * {width} + 1:(part + 1) * {width}] AS vec FROM kept, unnest(range(0, {PARTS})) t(part)),
+    book0 AS (SELECT part, r AS entry, vec FROM parts WHERE r < {ENTRIES}),
+    {steps},
+    coded AS MATERIALIZED (
+      SELECT r, string_agg(printf('%02x', best % {ENTRIES}), '' ORDER BY part) AS code, sum(best // {ENTRIES})::BIGINT AS error
+      FROM found{ROUNDS} GROUP BY r)
+    SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+      (SELECT sha256(string_agg(array_to_string(vec, ','), ',' ORDER BY part, entry)) FROM book{ROUNDS}) AS codebooks_sha256
+    FROM coded JOIN kept USING (r)"""
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segspark.llm.spelling import variants, word_counts
+
+    words = word_counts(table(spark, sf_dir, "documents"), least_length=6, least_count=5, drop_every=199)
+    return variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES = {
     "op1_url_trust": (op1_url_trust, OP1_SQL),
     "op2_byte_bpe": (op2_byte_bpe, None),
@@ -204,4 +294,7 @@ QUERIES = {
     "op4_near_dedup": (op4_near_dedup, None),
     "op5_quality": (op5_quality, None),
     "op6_repetition": (op6_repetition, OP6_SQL),
+    "op11_hash_tree_sharding": (op11_hash_tree_sharding, _op11_sql()),
+    "op12_vector_codes": (op12_vector_codes, _op12_sql()),
+    "op13_spelling_variants": (op13_spelling_variants, None),
 }
