@@ -45,6 +45,8 @@ RATIO = 5
 SAME_LENGTH, ONE_LONGER = (1, 6), (1, 4)
 #: Distinct words a task holds before it passes its counts on, and the text size from which matches are not listed at once.
 HELD, LONG_TEXT = 200_000, 1 << 20
+#: Words up to this length are compared by the built-in edit distance.
+SHORT = 64
 
 _UPPER = {ord(c): ord(c) + 32 for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
 
@@ -128,10 +130,23 @@ def _parity(vector: Column) -> Column:
     return F.aggregate(F.split(vector, ""), F.lit(0).cast("long"), lambda bits, c: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.ascii(c) % 61)))
 
 
+def one_edit(a: Column, b: Column) -> Column:
+    """Whether exactly one character is inserted, deleted or replaced; `b` is as long as `a` or one longer, or one shorter.
+
+    The built-in distance takes time in the square of the length, so longer words are compared from their first difference on.
+    """
+    short, long = F.when(F.length(a) <= F.length(b), a).otherwise(b), F.when(F.length(a) <= F.length(b), b).otherwise(a)
+    same = F.zip_with(F.split(short, ""), F.split(long, ""), lambda x, y: F.coalesce(x == y, F.lit(False)))
+    first = F.array_position(same, False).cast("int")  # from 1; none if equal
+    rest = F.substring(short, F.when(F.length(a) == F.length(b), first + 1).otherwise(first), F.length(long))
+    linear = (first > 0) & (rest == F.substring(long, first + 1, F.length(long)))
+    return F.when(F.length(long) <= SHORT, F.levenshtein(a, b, 1) == 1).otherwise(linear)
+
+
 def near_vectors(vectors: DataFrame) -> DataFrame:
     """Pairs (a, b) of sorted-letter strings at Hamming distance 2 and equal size, or 1 and sizes one apart (b the larger).
 
-    A few pairs more may be among them (where parity bits coincide); none is missing. `vectors`: distinct strings `v`.
+    A few pairs more may be among them (where parity bits of long vectors coincide); none is missing. `vectors`: distinct strings `v`.
     """
     weights = vectors.select(F.explode(F.split("v", "")).alias("letter")).groupBy("letter").count().collect()
     letters = {r["letter"]: r["count"] for r in weights if r["letter"]}
@@ -155,7 +170,8 @@ def near_vectors(vectors: DataFrame) -> DataFrame:
     differ = F.bit_count(F.col("a.parity").bitwiseXOR(F.col("b.parity")))
     same = (F.col("a.size") == F.col("b.size")) & (F.col("a.v") < F.col("b.v")) & (differ <= 2)
     longer = (F.col("a.size") + 1 == F.col("b.size")) & (differ <= 1)
-    met = a.join(b, (F.col("a.key") == F.col("b.key")) & (same | longer) & (F.levenshtein("a.v", "b.v", 2) >= 0))
+    apart = F.when(F.col("b.size") <= SHORT, F.levenshtein("a.v", "b.v", 2) >= 0).otherwise(True)
+    met = a.join(b, (F.col("a.key") == F.col("b.key")) & (same | longer) & apart)
     return met.select(F.col("a.v").alias("a"), F.col("b.v").alias("b")).distinct()
 
 
@@ -165,7 +181,7 @@ def near_words(words: DataFrame) -> DataFrame:
     pairs = materialize(near_vectors(spelled.select("v").distinct()))
     left = pairs.join(spelled.select(F.col("word"), F.col("v").alias("a")), "a").select("word", "b")
     right = spelled.select(F.col("word").alias("near"), F.col("v").alias("b"))
-    found = materialize(left.join(right, (left["b"] == right["b"]) & (F.levenshtein("word", "near", 1) == 1)).select("word", "near"))
+    found = materialize(left.join(right, (left["b"] == right["b"]) & one_edit(left["word"], right["near"])).select("word", "near"))
     return found.unionByName(found.select(F.col("near").alias("word"), F.col("word").alias("near")))
 
 
