@@ -21,7 +21,6 @@ table gives no pieces. Only id and text are read, so other columns cannot clash.
 from __future__ import annotations
 
 import hashlib
-import itertools
 import os
 import re
 import zlib
@@ -33,55 +32,122 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segspark.llm.bpe import text_slices
-from segspark.llm.piece_cache import PieceCache, give_back, worker_state
+from segspark.llm.piece_cache import give_back, worker_state
+from segspark.llm.span_cache import SpanCache
+from segspark.llm.text_arrays import BYTE_HASH, SLICE_BYTES, SPACE, Rolling, Slice, slices, words
 
 CAPACITY = 2048
 #: Sequences of one partition have ids from partition * SEQUENCES on.
 SEQUENCES = 1 << 40
+#: Plain words given to the tokenizer in one text.
+TOGETHER = 1000
 
-# Python calls these white space, the tokenizer does not.
-_NOT_SPACE = re.compile("[\x1c-\x1f]")
-_CHUNK = re.compile("[^ \t-\r]+")
+# Of bytes: letters of Latin words (A-Z, a-z and, after 0xC3, all but the signs 0x97 and 0xB7), and signs that may follow them.
+_LETTER, _SIGN = np.zeros(256, bool), np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_SIGN[list(b".,;:!?#*$%&|")] = True
 
 
-def chunks(text: str) -> list[str]:
-    """Runs without white space. The tokenizer drops white space and never joins across it."""
-    return _CHUNK.findall(text) if _NOT_SPACE.search(text) else text.split()
+def _after(x: np.ndarray, value: int) -> np.ndarray:
+    """True at every byte that follows one of this value."""
+    out = np.zeros(len(x), bool)
+    out[1:] = x[:-1] == value
+    return out
 
 
-# A word of Latin letters with signs after it: two pieces to the tokenizer, which also lower-cases.
-_WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?#*$%&|]*)")
+def pieces(part: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lower-cased bytes, start and end of the spans that are encoded one by one, and the first span of each document.
 
-
-class ChunkEncoder:
-    """Ids of chunks. Words are encoded once whatever their case and the signs after them."""
-
-    def __init__(self, tokenizer, most: int = 150_000):
-        self.tokenizer, self.most = tokenizer, most
-        self.known: dict[str, list[int]] = {}
-
-    def __call__(self, found: list[str]) -> list[list[int]]:
-        if len(self.known) > self.most:
-            self.known = dict(itertools.islice(self.known.items(), self.most // 2))
-        parts = [(m[1].lower(), m[2]) if (m := _WORD.fullmatch(c)) else (c, "") for c in found]
-        new = list(dict.fromkeys(p for both in parts for p in both if p and p not in self.known))
-        if new:
-            self.known.update(zip(new, (e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)), strict=True))
-        return [self.known[word] + self.known[signs] if signs else self.known[word] for word, signs in parts]
-
-
-def worker_tokens(definition: str) -> PieceCache:
-    """The tokenizer of this worker with the chunks it has seen."""
+    Spans are runs without white space: the tokenizer drops white space and never joins across it. A run that is a
+    word of Latin letters with signs after it is two spans, as to the tokenizer, which also lower-cases.
+    """
+    data, found = part.data, words(part)
+    latin = _after(data, 0xC3) & (data >= 0x80) & (data < 0xC0) & (data != 0x97) & (data != 0xB7)
+    letter = _LETTER[data] | latin
+    letter[:-1] |= latin[1:]
+    lower = data.copy()
+    lower[((data >= 65) & (data <= 90)) | (latin & (data < 0x9F))] += 32
+    others = np.concatenate([[0], np.cumsum(~letter)])
+    last = np.maximum.accumulate(np.where(_SIGN[data], -1, np.arange(len(data)))) + 1 if len(data) else np.zeros(0, np.int64)
+    word_end = np.maximum(last[found.end - 1], found.start) if len(found.end) else found.end
+    two = (word_end > found.start) & (word_end < found.end) & (others[word_end] == others[found.start])
+    times = 1 + two
+    place = np.cumsum(times) - times
+    start, end = np.repeat(found.start, times), np.repeat(found.end, times)
+    end[place[two]] = word_end[two]
+    start[place[two] + 1] = word_end[two]
+    return lower, start, end, np.concatenate([place, [len(start)]])[found.bounds]
+
+
+_PLAIN = re.compile("[a-zà-öø-ÿß]+")
+
+
+class WordEncoder:
+    """Ids of spans. Plain words are encoded many in a text, where the tokenizer tells which ids are whose."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
+
+    def __call__(self, spans: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        lengths = np.zeros(len(spans), np.int64)
+        ids = [None] * len(spans)
+        plain = [i for i, s in enumerate(spans) if _PLAIN.fullmatch(s)]
+        for first in range(0, len(plain), TOGETHER):
+            some = plain[first : first + TOGETHER]
+            encoded = self.tokenizer.encode(" ".join([spans[i] for i in some]), add_special_tokens=False)
+            owner = np.array(encoded.word_ids, np.int64)
+            bounds = np.searchsorted(owner, np.arange(len(some) + 1)).tolist()
+            if len(owner) == 0 or owner[-1] != len(some) - 1:
+                raise ValueError("the tokenizer does not keep words apart")
+            found = encoded.ids
+            for k, i in enumerate(some):
+                ids[i] = found[bounds[k] : bounds[k + 1]]
+        rest = [i for i in range(len(spans)) if ids[i] is None]
+        for i, e in zip(rest, self.tokenizer.encode_batch_fast([spans[i] for i in rest], add_special_tokens=False)):
+            ids[i] = e.ids
+        lengths[:] = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter((x for found in ids for x in found), np.int32, int(lengths.sum())), lengths
+
+
+def worker_tokens(definition: str) -> SpanCache:
+    """The tokenizer of this worker with the spans it has seen."""
     state, key = worker_state(), ("tokenizer", hashlib.sha256(definition.encode()).digest())
     if key not in state:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
-        state[key] = PieceCache(ChunkEncoder(Tokenizer.from_str(definition)))
+        state[key] = SpanCache(WordEncoder(Tokenizer.from_str(definition)))
     return state[key]
 
 
+def cut_at_space(part: Slice, limit: int) -> list[Slice]:
+    """A long document in pieces of about `limit` bytes, cut where white space is; other slices as they are."""
+    if len(part) != 1 or len(part.data) <= 2 * limit:
+        return [part]
+    out, data = [], part.data
+    while len(data) > 2 * limit:
+        at, gap = limit, np.zeros(0, np.int64)
+        while at < len(data) and not len(gap):
+            gap = np.flatnonzero(SPACE[data[at : at + limit]])
+            at += int(gap[0]) if len(gap) else limit
+        if at >= len(data):
+            break
+        out.append(Slice(part.first, data[:at], np.array([0, at])))
+        data = data[at:]
+    return [*out, Slice(part.first, data, np.array([0, len(data)]))]
+
+
+def token_ids(cache: SpanCache, part: Slice) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the slice's documents, and where each document's begin (one more than documents)."""
+    cut = cut_at_space(part, 2 * SLICE_BYTES)
+    if len(cut) > 1:
+        ids = np.concatenate([token_ids(cache, x)[0] for x in cut])
+        return ids, np.array([0, len(ids)])
+    lower, start, end, bounds = pieces(part)
+    ids, counts = cache.ids(lower, start, end, Rolling(BYTE_HASH[lower]).spans(start, end))
+    return ids, np.concatenate([[0], np.cumsum(counts)])[bounds]
+
+
 def cuts(tokens: int, capacity: int = CAPACITY) -> list[int]:
     """Piece lengths of a document: whole sequences, exact classes from large to small, the rest."""
     out = [capacity] * (tokens // capacity)
@@ -171,10 +237,10 @@ def pack(
         for batch in batches:
             kind_of_key = batch.column(0).type
             keys = batch.column(0).to_pylist()
-            for first, texts in text_slices(batch.column(1)):
-                ids, bounds = cache.ids([chunks(t) for t in texts])
-                rows = []
-                for i in range(len(texts)):
+            for part in slices(batch.column(1)):
+                ids, bounds = token_ids(cache, part)
+                first, rows = part.first, []
+                for i in range(len(part)):
                     tokens = np.append(ids[bounds[i] : bounds[i + 1]], np.int32(end_id))
                     start = 0
                     for length in cuts(len(tokens), capacity):

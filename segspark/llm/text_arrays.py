@@ -17,8 +17,8 @@ SLICE_BYTES = 1 << 20
 
 _PRIME = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_PRIME), -1, 1 << 64))
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+SPACE = np.zeros(256, bool)
+SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -32,7 +32,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64))
+BYTE_HASH = mix(np.arange(1, 257, dtype=np.uint64))
 
 
 class Rolling:
@@ -101,7 +101,7 @@ class Words:
 
 
 def words(part: Slice) -> Words:
-    space = _SPACE[part.data]
+    space = SPACE[part.data]
     n = len(space)
     before, after = np.ones(n, bool), np.ones(n, bool)
     before[1:], after[:-1] = space[:-1], space[1:]
@@ -130,7 +130,7 @@ def lines(part: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def byte_hashes(part: Slice) -> Rolling:
-    return Rolling(_BYTE[part.data])
+    return Rolling(BYTE_HASH[part.data])
 
 
 def code_points(part: Slice) -> np.ndarray:

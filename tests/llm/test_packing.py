@@ -3,11 +3,14 @@ import zlib
 import numpy as np
 import pandas as pd
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from odd import ODD_IDS, TEXTS, ids, odd_documents
 from tokenizers import Tokenizer
 
-from segspark.llm.packing import Bins, chunks, cuts, pack
+from segspark.llm.packing import Bins, cut_at_space, cuts, pack, token_ids, worker_tokens
+from segspark.llm.span_cache import SpanCache
+from segspark.llm.text_arrays import slices
 
 PATH = P.path("word_bpe_49k.json")
 
@@ -53,10 +56,44 @@ def test_bins_hold_every_id_once():
         assert (g.start == g.length.cumsum() - g.length).all()
 
 
-def test_chunks_split_as_the_tokenizer_does(library):
-    for text in ["a\x1cb c\x1f d", "x\xa0y z\x85w", "DON'T stop's 12,5", "Σας ΣΑΣ İi", "é é", "<|endoftext|> a<|endoftext|>b", ""]:
-        whole = library.encode(text, add_special_tokens=False).ids
-        assert [i for c in chunks(text) for i in library.encode(c, add_special_tokens=False).ids] == whole
+MIXED = [
+    "a\x1cb c\x1f d", "x\xa0y z\x85w", "DON'T stop's 12,5", "Σας ΣΑΣ İi", "é é É, ÉÀÞ! ×÷ a×b ß? ẞ ſ A\u030a a\u030a, Ünïcödé,!", "...", ".a. a.. ,A",
+    "<|endoftext|> a<|endoftext|>b", "", "don't!!, we'LL #tag# C3PO, 日本語 🎉 text;",
+]
+
+
+def test_tokens_are_the_library_s(library):
+    definition = open(PATH, encoding="utf-8").read()
+    for limit in (4, 1 << 20):
+        for part in slices(pa.array(MIXED), limit):
+            tokens, bounds = token_ids(worker_tokens(definition), part)
+            for i in range(len(part)):
+                assert tokens[bounds[i] : bounds[i + 1]].tolist() == library.encode(MIXED[part.first + i], add_special_tokens=False).ids
+
+
+def test_long_documents_are_cut_at_white_space():
+    text = ("ab cde " * 40 + "x" * 300 + " ") * 3
+    (part,) = slices(pa.array([text]))
+    cut = cut_at_space(part, 64)
+    assert len(cut) > 3 and b"".join(x.data.tobytes() for x in cut) == text.encode()
+    assert text.split() == [w for x in cut for w in x.data.tobytes().decode().split()]
+
+
+def test_span_cache_forgets_and_survives_equal_hashes():
+    def encode(spans):
+        return np.array([ord(c) for s in spans for c in s], np.int32), np.array([len(s) for s in spans])
+
+    rng = np.random.default_rng(4)
+    for hash_of in (lambda n: np.arange(n, dtype=np.uint64) % 3, lambda n: rng.integers(0, 40, n).astype(np.uint64)):
+        cache = SpanCache(encode, most=50)
+        for _ in range(30):
+            spans = ["".join(rng.choice(list("abc"), rng.integers(1, 5))) for _ in range(40)]
+            data = np.frombuffer("".join(spans).encode(), np.uint8)
+            end = np.cumsum([len(s) for s in spans])
+            by_span = dict(zip(spans, hash_of(40)))  # equal spans have equal hashes, others may too
+            tokens, counts = cache.ids(data, end - [len(s) for s in spans], end, np.array([by_span[s] for s in spans], np.uint64))
+            assert bytes(tokens.astype(np.uint8).tolist()) == data.tobytes() and counts.tolist() == [len(s) for s in spans]
+            assert cache.ids_of.entries <= 50 + 40
 
 
 def test_odd_rows(spark, library):
