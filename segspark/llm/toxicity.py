@@ -7,18 +7,24 @@ the few likeliest readings (letter pairs alone cannot always tell "ldiot" from "
 word's edge that may be letters are read both ways, two equal letters also as one, and between spaced
 letters a word may end anywhere. Digits alone are a number.
 
-* The letter-pair model counts all letter pairs of all documents (pre-aggregated in tasks; at most
-  `MOST_PAIRS` pairs are collected, the most frequent).
-* Features are restored words and their beginnings of 5 to 8 letters. They are chosen, and their
+* The letter-pair model counts all letter pairs of all documents, pre-aggregated in tasks. The driver gets the
+  pairs among Latin letters (readings are Latin) and one total per Latin letter over all its pairs: both bounded by
+  the alphabet, not by the data.
+* Features are restored words and their beginnings of 5 to 8 letters. They are chosen by significance alone, and their
   weights fitted (logistic regression with an L2 penalty), on at most `per_class` labelled rows of
   each class, the ones with the smallest hash of their id; classes are weighted back to their true
-  sizes. At most `MOST_FEATURES` features are kept.
-* Scoring looks every token up once per worker; most have no feature at all.
+  sizes.
+* In a run of spaced letters words may begin and end anywhere: its lattice is decoded as a whole, and features are
+  looked for at every letter of the readings, in time and memory in proportion to the run. Tokens and runs of any
+  length are decoded in overlapping windows of `WINDOW` characters.
+* Scoring looks every token up once per worker. A token of letters only is decoded for its repeated letters only if
+  a feature could come of it: with runs cut to one letter, all its readings look alike, and so must the feature.
 
 Results for odd cases: a null or empty text has no features and gets the score of such texts. Texts
 are read whole. Rows without a label are not learnt from; without any label of either class the score
 is the share of the other (0 or 1), and 0 without labels. Repeated rows give repeated scores; an empty
-table an empty result. Only the named columns are read, so other columns cannot clash.
+table an empty result. Among equally cheap readings the first found counts; rows of equal id hash are drawn by id; a row
+with a null id is scored but not learnt from. Only the named columns are read, so other columns cannot clash.
 """
 
 from __future__ import annotations
@@ -40,8 +46,15 @@ from segspark.llm.language import letter_stream
 from segspark.llm.piece_cache import PieceCache, worker_state
 from segspark.session import materialize
 
-PER_CLASS, MOST_PAIRS, MOST_FEATURES = 5000, 100_000, 4000
+PER_CLASS = 5000
 BEGINNINGS = (5, 6, 7, 8)
+#: Letter pairs are kept among Latin letters (and word edges): readings are Latin, so only those are asked for.
+LATIN_END = 0x250
+#: Longer tokens and spaced runs are decoded in overlapping windows of so many characters.
+WINDOW = 64
+ROWS_TOGETHER = 50_000  # in an Arrow batch of features
+#: A feature is kept from this many toxic rows, this log-odds ratio and this many standard errors on.
+LEAST_ROWS, LEAST_ODDS, LEAST_ERRORS = 3, 1.0, 3.0
 
 # What a character may stand for.
 LEET = {
@@ -57,6 +70,7 @@ SIGNS = "".join(c for c in LEET if not c.isdigit())  # signs that may be letters
 NO_LETTER = "".join(c for c in EDGE if c not in SIGNS)
 _RUN = re.compile(r"([^\W\d_])\1\1")
 _PAIR = re.compile(r"([^\W\d_])\1")
+_PAIR_RUN = re.compile(r"([^\W\d_])\1+")
 _SPACED = re.compile(r"(?<![^\W_])[^\W_](?:[ .\-_*][^\W_]){2,}(?![^\W_])")
 _LETTER = rf"(?:[^\W_]|[{re.escape(SIGNS)}])"
 _GAP = re.compile(r"[\s.\-_*]+")
@@ -71,10 +85,8 @@ class LetterModel:
     rare: dict[str, float]  # after a letter: the log-probability of a letter never seen there
 
     @staticmethod
-    def of(counts: dict[tuple[str, str], int]) -> LetterModel:
-        totals: dict[str, int] = {}
-        for (a, _), n in counts.items():
-            totals[a] = totals.get(a, 0) + n
+    def of(counts: dict[tuple[str, str], int], totals: dict[str, int]) -> LetterModel:
+        """`totals`: per letter, its pairs with any letter."""
         letters = len({b for _, b in counts}) + 1
         return LetterModel(
             {(a, b): math.log((n + 0.5) / (totals[a] + 0.5 * letters)) for (a, b), n in counts.items()},
@@ -143,6 +155,8 @@ def restore(token: str, model: LetterModel) -> list[str]:
     Signs at the edges that may be letters are read both ways, as are two equal letters. Digits alone are a number.
     """
     core = token.strip(NO_LETTER)
+    if len(core) > WINDOW:
+        return list(dict.fromkeys(w for part in windows(core) for w in restore(part, model)))
     if not any(c.isalpha() or c in SIGNS for c in core):
         return []
     bare = token.rstrip(EDGE).lstrip(EDGE.replace("$", "").replace("!", "").replace("|", ""))
@@ -156,20 +170,47 @@ def restore(token: str, model: LetterModel) -> list[str]:
     return list(dict.fromkeys(w for reading in found for w in reading.split()))
 
 
-def _segments(run: str) -> list[str]:
-    """All words that neighbouring letters of a spaced run form, as long as beginnings look at and one letter more, each up to three times.
+def windows(letters: str) -> Iterator[str]:
+    """The whole string if it is short, else overlapping windows: a lattice's memory does not grow with the text."""
+    for i in range(0, max(1, len(letters) - WINDOW // 2), WINDOW // 2):
+        yield letters[i : i + WINDOW]
 
-    Letter pairs cannot tell where words end here, so every end is offered; of longer words the beginnings are seen.
+
+def spaced_readings(run: str, model: LetterModel) -> Iterator[str]:
+    """What the letters of a spaced run spell, without word ends: as they are, and the readings of their lattice."""
+    letters = _GAP.sub("", run)
+    if letters.isalpha():
+        yield letters
+    if not letters.isalpha() or _PAIR.search(letters):
+        for window in windows(letters):
+            yield from dict.fromkeys(r.replace(" ", "") for r in decode(window, model))
+
+
+def spaced_features(reading: str, wanted: dict[str, int] | set[str], lengths: list[int]) -> set[str]:
+    """The wanted features of all words in a reading: letter pairs cannot tell where words end here, so they may begin and end anywhere.
+
+    `lengths`: those of whole words among the features.
     """
-    letters, most = re.sub(r"(.)\1{3,}", r"\1\1\1", _GAP.sub("", run)), 3 * (BEGINNINGS[-1] + 1)
-    return [letters[i:j] for i in range(len(letters) - 1) for j in range(i + 2, min(i + most, len(letters)) + 1)]
+    found = set()
+    for i in range(len(reading)):
+        for n in BEGINNINGS:
+            if reading[i : i + n] in wanted:
+                found.add(reading[i : i + n])
+        for n in lengths:
+            if i + n <= len(reading) and reading[i : i + n] + "$" in wanted:
+                found.add(reading[i : i + n] + "$")
+    return found
+
 
+def word_lengths(features) -> list[int]:
+    return sorted({len(f) - 1 for f in features if f.endswith("$")})
 
-def tokens(text: str) -> list[str]:
-    """Lower-case tokens, and those that single letters with spaces or signs between them may form."""
+
+def tokens(text: str) -> tuple[list[str], list[str]]:
+    """Lower-case tokens, with those that single letters with a space or sign between them form, and the spaced runs."""
     lowered = text.lower()
     joined = [re.sub(r"[ .\-_*]", "", m[0]) for m in _SPACED.finditer(lowered)]
-    return lowered.split() + joined + [w for m in _SPACED_WIDE.finditer(lowered) for w in _segments(m[0])]
+    return lowered.split() + joined, [m[0] for m in _SPACED_WIDE.finditer(lowered)]
 
 
 def word_features(word: str) -> list[str]:
@@ -189,21 +230,28 @@ class ToxicityModel:
         self.key = hashlib.sha256(repr((self.names, self.intercept)).encode()).digest()
 
 
-def count_letter_pairs(df: DataFrame, text_col: str = "text", most: int = MOST_PAIRS) -> dict[tuple[str, str], int]:
-    """Over all rows; 0 stands for a word's edge."""
+def count_letter_pairs(df: DataFrame, text_col: str = "text") -> tuple[dict[tuple[str, str], int], dict[str, int]]:
+    """Over all rows: counts of pairs of Latin letters ('' is a word's edge), and per Latin letter of its pairs with any letter."""
     source = df.select(F.col(text_col).cast("string").alias("body")).dropna()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, texts in text_slices(batch.column(0), 1 << 21):
                 codes = letter_stream(texts)[0].astype(np.int64)
-                pair, n = np.unique((codes[:-1] << 21) | codes[1:], return_counts=True)
+                codes = np.minimum(codes, LATIN_END)  # one mark for all other letters
+                pair, n = np.unique(codes[:-1] * (LATIN_END + 1) + codes[1:], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(n, pa.int64())], names=["pair", "n"])
 
-    counts = source.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "pair").limit(most).collect()
+    counts = source.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect()
     name = lambda c: chr(c) if c else ""
-    return {(name(r["pair"] >> 21), name(r["pair"] & 0x1FFFFF)): r["n"] for r in top}
+    pairs, totals = {}, {}
+    for r in counts:
+        a, b = divmod(r["pair"], LATIN_END + 1)
+        if a < LATIN_END:
+            totals[name(a)] = totals.get(name(a), 0) + r["n"]
+            if b < LATIN_END:
+                pairs[name(a), name(b)] = r["n"]
+    return pairs, totals
 
 
 def _document_features(df: DataFrame, letters: LetterModel, wanted: list[str] | None) -> DataFrame:
@@ -214,29 +262,40 @@ def _document_features(df: DataFrame, letters: LetterModel, wanted: list[str] |
         pairs, rare, wanted = sent.value
         letters = LetterModel(pairs, rare)
         known: dict[str, list[str]] = {}
+        lengths = word_lengths(wanted or ())
         for batch in batches:
-            keys, labels = batch.column(0), batch.column(2)
-            for i, text in enumerate(batch.column(1).to_pylist()):
+            keys, labels = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            out: list[tuple] = []
+            for i, text in enumerate(batch.column(1)):
                 found: set[str] = set()
-                for token in set(tokens(text or "")):
+                whole, spaced = tokens(text.as_py() or "")
+                if wanted is not None:  # features are chosen by words that stand alone
+                    for run in spaced:
+                        for reading in spaced_readings(run, letters):
+                            found |= spaced_features(reading, wanted, lengths)
+                for token in set(whole):
                     if token not in known:
                         if len(known) > 300_000:
                             known.clear()
                         own = [f for w in restore(token, letters) for f in word_features(w)]
                         known[token] = own if wanted is None else [f for f in own if f in wanted]
                     found.update(known[token])
-                n = len(found)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([keys[i].as_py()] * n, pa.int64()), pa.array([labels[i].as_py()] * n, pa.int32()), pa.array(sorted(found), pa.string())],
-                    names=["row_key", "y", "feature"],
-                )
+                out += [(keys[i], labels[i], f) for f in sorted(found)]
+                if len(out) > ROWS_TOGETHER:
+                    yield table(out)
+                    out = []
+            yield table(out)
+
+    def table(out: list[tuple]) -> pa.RecordBatch:
+        columns = [pa.array([r[k] for r in out], kind) for k, kind in enumerate((pa.int64(), pa.int32(), pa.string()))]
+        return pa.RecordBatch.from_arrays(columns, names=["row_key", "y", "feature"])
 
     return df.mapInArrow(run, "row_key long, y int, feature string")
 
 
 def fit(df: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", per_class: int = PER_CLASS) -> ToxicityModel:
     """Learn from the rows of `df` that `labels` (`id_col`, `label_col` 0 or 1) covers; letter pairs from all rows of `df`."""
-    letters = LetterModel.of(count_letter_pairs(df, text_col))
+    letters = LetterModel.of(*count_letter_pairs(df, text_col))
     known = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("key")).agg(F.max(label_col).cast("int").alias("y"))
     sizes = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
     # Ids are drawn from the labels alone; the texts of the few that are drawn follow by a broadcast join.
@@ -248,8 +307,8 @@ def fit(df: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str
     if len(drawn) < 2:
         return ToxicityModel(letters, {}, 30.0 if drawn.get(1) else -30.0)
 
-    in_toxic = _document_features(sample.filter("y = 1"), letters, None).groupBy("feature").agg(F.count(F.lit(1)).alias("n")).filter("n >= 3")
-    frequent = [r["feature"] for r in in_toxic.orderBy(F.desc("n"), "feature").limit(10 * MOST_FEATURES).collect()]
+    in_toxic = _document_features(sample.filter("y = 1"), letters, None).groupBy("feature").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= LEAST_ROWS)
+    frequent = [r["feature"] for r in in_toxic.collect()]  # of at most `per_class` rows
     found = materialize(_document_features(sample, letters, frequent))
     counted = found.groupBy("feature").agg(F.count_if(F.col("y") == 1).alias("a"), F.count_if(F.col("y") == 0).alias("b")).collect()
     chosen = []
@@ -257,9 +316,9 @@ def fit(df: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str
         p1, p0 = (r["a"] + 0.5) / (drawn[1] + 1), (r["b"] + 0.5) / (drawn[0] + 1)
         odds = math.log(p1 / (1 - p1)) - math.log(p0 / (1 - p0))
         error = math.sqrt(1 / (r["a"] + 0.5) + 1 / (r["b"] + 0.5))
-        if odds > 1 and odds / error > 3:
-            chosen.append((odds / error, r["feature"]))
-    names = sorted(f for _, f in sorted(chosen, reverse=True)[:MOST_FEATURES])
+        if odds > LEAST_ODDS and odds / error > LEAST_ERRORS:
+            chosen.append(r["feature"])
+    names = sorted(chosen)
     rows = found.join(F.broadcast(sample.sparkSession.createDataFrame([(n,) for n in names], "feature string")), "feature") if names else None
     entries = rows.select("row_key", "y", "feature").collect() if rows is not None else []
     weights, intercept = _logistic(names, entries, sizes, drawn)
@@ -293,24 +352,48 @@ def _logistic(names: list[str], entries: list, sizes: dict[int, int], drawn: dic
     return w.tolist(), float(b)
 
 
-def worker_features(model: ToxicityModel) -> PieceCache:
-    state, key = worker_state(), ("toxicity", model.key)
-    if key not in state:
-        number = {n: i for i, n in enumerate(model.names)}
+def cut_runs(letters: str) -> str:
+    return _PAIR_RUN.sub(r"\1", letters)
+
+
+class Lookup:
+    """Numbers of the model's features in tokens and spaced runs."""
+
+    def __init__(self, model: ToxicityModel):
+        self.letters, self.number = model.letters, {n: i for i, n in enumerate(model.names)}
+        self.lengths = word_lengths(model.names)
+        self.starts = {cut_runs(n) for n in model.names}
+        self.cache = PieceCache(lambda found: [self.of(t) for t in found])
 
-        def lookup(found: list[str]) -> list[list[int]]:
-            return [[number[f] for w in restore(t, model.letters) for f in word_features(w) if f in number] for t in found]
+    def of(self, token: str) -> list[int]:
+        core = token.strip(NO_LETTER)
+        if core.isalpha() and len(core) <= WINDOW and _PAIR.search(core):
+            short = cut_runs(core)
+            words = restore(token, self.letters) if any(short[:n] in self.starts for n in range(1, 9)) or short + "$" in self.starts else []
+        else:
+            words = [core] if core.isalpha() and len(core) <= WINDOW else restore(token, self.letters)
+        return [self.number[f] for w in words for f in word_features(w) if f in self.number]
 
-        state[key] = PieceCache(lookup)
+    def spaced(self, runs: list[str]) -> set[int]:
+        return {self.number[f] for run in runs for r in spaced_readings(run, self.letters) for f in spaced_features(r, self.number, self.lengths)}
+
+
+def worker_features(model: ToxicityModel) -> Lookup:
+    state, key = worker_state(), ("toxicity", model.key)
+    if key not in state:
+        state[key] = Lookup(model)
     return state[key]
 
 
 def scores(model: ToxicityModel, texts: list[str]) -> np.ndarray:
-    ids, bounds = worker_features(model).ids([tokens(t) for t in texts])
-    doc = np.repeat(np.arange(len(texts)), np.diff(bounds))
-    once = np.unique(doc * np.int64(len(model.names) + 1) + ids)
+    lookup, features = worker_features(model), len(model.names)
+    split = [tokens(t) for t in texts]
+    ids, bounds = lookup.cache.ids([whole for whole, _ in split])
+    spaced = [(i, f) for i, (_, runs) in enumerate(split) if runs for f in lookup.spaced(runs)]
+    doc = np.concatenate([np.repeat(np.arange(len(texts)), np.diff(bounds)), np.array([i for i, _ in spaced], np.int64)])
+    once = np.unique(doc * np.int64(features + 1) + np.concatenate([ids, np.array([f for _, f in spaced], np.int64)]))
     weight = np.array([model.weights[n] for n in model.names] + [0.0])
-    z = model.intercept + np.bincount(once // (len(model.names) + 1), weight[once % (len(model.names) + 1)], len(texts))
+    z = model.intercept + np.bincount(once // (features + 1), weight[once % (features + 1)], len(texts))
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 

@@ -5,7 +5,9 @@ from odd import ODD_IDS, ids, odd_documents
 from pyspark.sql import functions as F
 
 from segspark.llm.queries import op10_toxicity
-from segspark.llm.toxicity import LetterModel, count_letter_pairs, decode, fit, restore, score, tokens
+from segspark.llm.toxicity import (
+    LetterModel, Lookup, ToxicityModel, count_letter_pairs, decode, fit, restore, score, scores, spaced_features, spaced_readings, tokens, word_features,
+)
 
 SF = "/root/testdata/sf0.1"
 
@@ -13,12 +15,14 @@ SF = "/root/testdata/sf0.1"
 @pytest.fixture(scope="module")
 def letters(spark):
     text = "an idiot and a moron told a stupid loser that trash is worthless and pathetic scum is disgusting clown letter coffee "
-    return LetterModel.of(count_letter_pairs(spark.createDataFrame([(text * 50,)], "text string")))
+    return LetterModel.of(*count_letter_pairs(spark.createDataFrame([(text * 50,)], "text string")))
 
 
 def test_letter_pairs_equal_brute_force(spark):
     got = count_letter_pairs(spark.createDataFrame([("Ab ab!",), (None,), ("b",)], "text string"))
-    assert got == {("", "a"): 2, ("a", "b"): 2, ("b", ""): 3, ("", "b"): 1}
+    assert got == ({("", "a"): 2, ("a", "b"): 2, ("b", ""): 3, ("", "b"): 1}, {"": 3, "a": 2, "b": 3})
+    mixed = count_letter_pairs(spark.createDataFrame([("aя яb a本",)], "text string"))
+    assert mixed[0] == {("", "a"): 2, ("b", ""): 1} and mixed[1] == {"": 3, "a": 2, "b": 1}  # totals cover pairs with other letters
 
 
 @pytest.mark.parametrize("hidden,word", [
@@ -30,7 +34,7 @@ def test_restored(letters, hidden, word):
 
 
 def test_spaced_letters_are_joined(letters):
-    assert "idiot" in tokens("you i d i o t there") and "moron" in tokens("m.o.r.o.n!")
+    assert "idiot" in tokens("you i d i o t there")[0] and "moron" in tokens("m.o.r.o.n!")[0]
     assert restore("2024", letters) == [] and restore("...", letters) == []
 
 
@@ -111,4 +115,28 @@ def test_signs_at_the_edge_and_pairs_are_read_both_ways(letters, hidden, word):
     ("m . o . r . o . n", "moron"), ("$ t u p ! d", "stupid"), ("1 d 1 0 t !", "idiot"), ("y o u m m m m m o o o o r o n n n n", "moron"),
 ])
 def test_a_word_may_end_anywhere_between_spaced_letters(letters, text, word):
-    assert word in {w for t in tokens(text) for w in restore(t, letters)}
+    readings = [r for run in tokens(text)[1] for r in spaced_readings(run, letters)]
+    assert any(spaced_features(r, {word + "$"}, [len(word)]) for r in readings)
+
+
+def test_long_tokens_and_spaced_texts_take_little_memory(letters):
+    import tracemalloc
+
+    model = ToxicityModel(letters, {"idiot$": 9.0, "moron": 9.0}, -5.0)
+    filler = "x y z " * 42_000
+    texts = [filler + " i d i 0 t " + filler, "1a" * 10_000 + "-m0r0n", "ab" * 100_000]
+    for text, toxic in zip(texts, (True, True, False)):
+        tracemalloc.start()
+        got = scores(model, [text])[0]
+        assert (got > 0.5) == toxic and tracemalloc.get_traced_memory()[1] < 50e6
+        tracemalloc.stop()
+
+
+def test_skipped_decoding_loses_no_feature(letters):
+    random.seed(3)
+    model = ToxicityModel(letters, dict.fromkeys(["idiot$", "moron", "coffee$", "aabb$", "loser"], 1.0))
+    lookup = Lookup(model)
+    for _ in range(3000):
+        word = "".join(c * random.choice([1, 1, 1, 2, 3]) for c in random.choice(["idiot", "moronic", "cofe", "ab", "loser", "clown", "tolso"]))
+        want = {f for w in restore(word, letters) for f in word_features(w) if f in model.weights}
+        assert {model.names[i] for i in lookup.of(word)} == want
