@@ -71,10 +71,11 @@ NO_LETTER = "".join(c for c in EDGE if c not in SIGNS)
 _RUN = re.compile(r"([^\W\d_])\1\1")
 _PAIR = re.compile(r"([^\W\d_])\1")
 _PAIR_RUN = re.compile(r"([^\W\d_])\1+")
-_SPACED = re.compile(r"(?<![^\W_])[^\W_](?:[ .\-_*][^\W_]){2,}(?![^\W_])")
+# Possessive, so that the engine keeps no state per letter of a long run.
+_SPACED = re.compile(r"(?<![^\W_])[^\W_](?:[ .\-_*][^\W_](?![^\W_])){2,}+")
 _LETTER = rf"(?:[^\W_]|[{re.escape(SIGNS)}])"
 _GAP = re.compile(r"[\s.\-_*]+")
-_SPACED_WIDE = re.compile(rf"(?<![^\W_]){_LETTER}(?:[\s.\-_*]+{_LETTER}){{2,}}(?![^\W_])")
+_SPACED_WIDE = re.compile(rf"(?<![^\W_]){_LETTER}(?:[\s.\-_*]++{_LETTER}(?![^\W_])){{2,}}+")
 
 
 @dataclass
