@@ -294,6 +294,13 @@ def _document_features(df: DataFrame, letters: LetterModel, wanted: list[str] |
     return df.mapInArrow(run, "row_key long, y int, feature string")
 
 
+def significant(a: int, b: int, drawn: dict[int, int]) -> bool:
+    """Whether a feature of `a` toxic rows and `b` others is kept; more toxic rows or fewer others never speak against it."""
+    p1, p0 = (a + 0.5) / (drawn[1] + 1), (b + 0.5) / (drawn[0] + 1)
+    odds = math.log(p1 / (1 - p1)) - math.log(p0 / (1 - p0))
+    return odds > LEAST_ODDS and odds / math.sqrt(1 / (a + 0.5) + 1 / (b + 0.5)) > LEAST_ERRORS
+
+
 def fit(df: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", per_class: int = PER_CLASS) -> ToxicityModel:
     """Learn from the rows of `df` that `labels` (`id_col`, `label_col` 0 or 1) covers; letter pairs from all rows of `df`."""
     letters = LetterModel.of(*count_letter_pairs(df, text_col))
@@ -308,16 +315,14 @@ def fit(df: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str
     if len(drawn) < 2:
         return ToxicityModel(letters, {}, 30.0 if drawn.get(1) else -30.0)
 
-    in_toxic = _document_features(sample.filter("y = 1"), letters, None).groupBy("feature").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= LEAST_ROWS)
+    least = next(a for a in range(LEAST_ROWS, drawn[1] + LEAST_ROWS) if a >= drawn[1] or significant(a, 0, drawn))
+    in_toxic = _document_features(sample.filter("y = 1"), letters, None).groupBy("feature").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least)
     frequent = [r["feature"] for r in in_toxic.collect()]  # of at most `per_class` rows
     found = materialize(_document_features(sample, letters, frequent))
     counted = found.groupBy("feature").agg(F.count_if(F.col("y") == 1).alias("a"), F.count_if(F.col("y") == 0).alias("b")).collect()
     chosen = []
     for r in counted:
-        p1, p0 = (r["a"] + 0.5) / (drawn[1] + 1), (r["b"] + 0.5) / (drawn[0] + 1)
-        odds = math.log(p1 / (1 - p1)) - math.log(p0 / (1 - p0))
-        error = math.sqrt(1 / (r["a"] + 0.5) + 1 / (r["b"] + 0.5))
-        if odds > LEAST_ODDS and odds / error > LEAST_ERRORS:
+        if significant(r["a"], r["b"], drawn):
             chosen.append(r["feature"])
     names = sorted(chosen)
     rows = found.join(F.broadcast(sample.sparkSession.createDataFrame([(n,) for n in names], "feature string")), "feature") if names else None
