@@ -39,6 +39,8 @@ from segspark.llm.text_arrays import BYTE_HASH, SLICE_BYTES, SPACE, Rolling, Sli
 CAPACITY = 2048
 #: Sequences of one partition have ids from partition * SEQUENCES on.
 SEQUENCES = 1 << 40
+#: Bytes of text taken at a time; arrays over them take some 70 bytes for each.
+SLICE = SLICE_BYTES // 4
 #: Plain words given to the tokenizer in one text.
 TOGETHER = 1000
 
@@ -139,7 +141,7 @@ def cut_at_space(part: Slice, limit: int) -> list[Slice]:
 
 def token_ids(cache: SpanCache, part: Slice) -> tuple[np.ndarray, np.ndarray]:
     """Ids of the slice's documents, and where each document's begin (one more than documents)."""
-    cut = cut_at_space(part, 2 * SLICE_BYTES)
+    cut = cut_at_space(part, SLICE)
     if len(cut) > 1:
         ids = np.concatenate([token_ids(cache, x)[0] for x in cut])
         return ids, np.array([0, len(ids)])
@@ -237,7 +239,7 @@ def pack(
         for batch in batches:
             kind_of_key = batch.column(0).type
             keys = batch.column(0).to_pylist()
-            for part in slices(batch.column(1)):
+            for part in slices(batch.column(1), SLICE):
                 ids, bounds = token_ids(cache, part)
                 first, rows = part.first, []
                 for i in range(len(part)):

@@ -42,11 +42,11 @@ class _Pool:
 class SpanCache:
     """(bytes, spans) -> ids. Beyond `most` entries or `most_bytes` only the first half stays: frequent spans come early."""
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = 600_000, most_bytes: int = 48 << 20):
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = 300_000, most_bytes: int = 16 << 20):
         self.encode, self.most, self.most_bytes = encode, most, most_bytes
         self.ids_of, self.bytes_of = _Pool(np.int32), _Pool(np.uint8)
         self.hashes = np.zeros(0, np.uint64)
-        self.bits = (4 * most).bit_length()
+        self.bits = (2 * most).bit_length()
         self._empty()
 
     def _empty(self):
