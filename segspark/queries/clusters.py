@@ -13,7 +13,7 @@ from segspark.operators.encode import FeatureEncoder, FeatureSpec
 from segspark.operators.models import ClusterSpec, fit_cluster
 from segspark.operators.profiles import profile_table
 from segspark.operators.tables import attach_labels as attach
-from segspark.queries import statistics
+from segspark.queries import survey
 from segspark.queries.standins import rounded, sql_round, table
 from segspark.session import materialize
 
@@ -477,13 +477,17 @@ SELECT c_custkey, {sql_round("sum(z * v[d])", "pc1", 5)}, {sql_round("sum(z * w[
 FROM z, sg GROUP BY c_custkey"""
 
 
+SEGMENT_NUMBERS = ["Visit", "Spending", "PPA", "Age", "Group_size", "NPS_P3M", "Funnel_Depth", "Brand_Loyalty"]
+SEGMENT_MODES = ["City", "Occupation", "Brand", "BUMO_Group", "Segmentation"]
+
+
 def customer_segments(spark, sf_dir):
-    """Which customer groups exist and how do they differ?"""
-    rows = materialize(customer_features(spark, sf_dir))
-    spec = ClusterSpec("kmeans", {"n_clusters": 3, "n_init": 2})
-    labels = fit_cluster(rows, "features", "c_custkey", spec).labels
-    profiled = statistics._customers(spark, sf_dir).drop("cluster").join(labels, "c_custkey")
-    return rounded(profile_table(profiled, statistics.PROFILE, statistics.MODES))
+    """Which customer groups exist and how do they differ? The whole way: the survey tables are cleaned,
+    integrated, given features, encoded and clustered, and the clusters profiled."""
+    rows = materialize(survey.featured(spark, sf_dir))
+    encoded = materialize(FeatureEncoder(survey.ENCODE_SPEC).fit(rows).transform_array(rows, ["ID"]))
+    labels = fit_cluster(encoded, "features", "ID", ClusterSpec("kmeans", {"n_clusters": 3, "n_init": 2})).labels
+    return rounded(profile_table(rows.join(labels, "ID"), SEGMENT_NUMBERS, SEGMENT_MODES))
 
 
 # ---- trials --------------------------------------------------------------------------

@@ -23,20 +23,15 @@ BRANDS = BrandSpec(focal=s.FOCAL, keep=s.KEEP)
 # ---- integration -----------------------------------------------------------
 
 def merged(spark, sf_dir):
-    """Demographics, need states, brand health, brand image and spending of one year."""
+    """Demographics, need states, brand health, brand image and spending of one year, all cleaned."""
     # Four tables are derived from the joined lines: join once, read four times, three of them one year.
     rows = materialize(s.lines(spark, sf_dir), "Year")
-    image = cleaners.clean_brand_image(s.brand_images(rows), s.FOCAL)
-    health = s.brandhealth(rows).withColumnsRenamed(
-        {"Fre#visit": "Frequency_Visit", "NPS#P3M": "NPS_P3M"}
-    )
-    parts = {
-        "sa_var": cleaners.clean_demographics(s.demographics(rows)),
-        "needstate": cleaners.clean_needstates(s.needstates(rows)),
-        "brandhealth": t.drop_null_in(health, "Awareness"),
-        "brand_image": image,
-        "segmentation": s.spending(spark, sf_dir),
+    raw = {
+        "sa_var": s.demographics(rows), "needstate": s.needstates(rows), "brandhealth": s.brandhealth(rows),
+        "brand_image": s.brand_images(rows), "segmentation": s.spending(spark, sf_dir),
     }
+    # Median and winsorizing limits of brand health come from all years, as the cleaner sees the whole table.
+    parts = cleaners.clean_all(raw, s.FOCAL, ["Visit"], s.IMAGE_ORDER)
     order = {
         "needstate": s.NEED_ORDER, "brandhealth": ["Brand"], "brand_image": s.IMAGE_ORDER,
         "segmentation": ["Visit"],
@@ -44,6 +39,60 @@ def merged(spark, sf_dir):
     return integrate.integrate(parts, s.YEAR, order)
 
 
+_EVIDENCE = " AND ".join(
+    f"coalesce({x} = '{s.FOCAL}', false)"
+    for x in ['"P3M"', '"P1M"', 'coalesce("Spontaneous", "Awareness")', '"Brand_Likability"', '"Weekly"', '"Daily"']
+)
+_FILLED_SQL = f"""filled AS (
+  SELECT "ID", "City", "Year", "Brand", "Awareness",
+    coalesce("Spontaneous", "Awareness", 'Unknown') AS "Spontaneous",
+    coalesce("Trial", CASE WHEN {_EVIDENCE} THEN '{s.FOCAL}' ELSE 'Unknown' END) AS "Trial",
+    coalesce("P3M", "P1M", "Daily", "Weekly", 'Unknown') AS "P3M",
+    coalesce("P1M", "Daily", "Weekly", 'Unknown') AS "P1M", "Weekly", "Daily", "Brand_Likability",
+    coalesce("Comprehension", CASE WHEN "Awareness" = '{s.FOCAL}' THEN 'Know a little' ELSE 'Unknown' END) AS "Comprehension",
+    "Frequency_Visit", "PPA", "Spending", "NPS_P3M" FROM brandhealth)"""
+
+
+_VISIT_SQL = " OR ".join(
+    f"coalesce(\"{x}\" = '{s.FOCAL}', false)" for x in ["Trial", "P3M", "P1M", "Brand_Likability", "Weekly", "Daily"]
+)
+_VISITED_SQL = f"""visited AS (
+  SELECT * REPLACE (coalesce("Frequency_Visit", CASE WHEN {_VISIT_SQL} THEN
+      (SELECT median("Frequency_Visit") FROM brandhealth) ELSE 0 END) AS "Frequency_Visit") FROM filled)"""
+
+
+_LAST_IMAGE_SQL = """last_image AS (
+  SELECT "ID", arg_max("BrandImage", (_day, _order, _line, "BrandImage", "Attribute", "Awareness")) AS img
+  FROM brand_image GROUP BY "ID")"""
+_LIKED_SQL = """liked AS (
+  SELECT v.* REPLACE (coalesce("Brand_Likability", CASE WHEN "Frequency_Visit" > 3 THEN "Brand" END, img, 'Unknown')
+      AS "Brand_Likability") FROM visited v LEFT JOIN last_image USING ("ID"))"""
+HEALTH_CTES = f"""{s.BRANDHEALTH_SQL.replace("brandhealth AS", "health_raw AS")},
+brandhealth AS (SELECT * FROM health_raw WHERE "Awareness" IS NOT NULL),
+{_FILLED_SQL}, {_VISITED_SQL}, {_LAST_IMAGE_SQL}, {_LIKED_SQL},
+tried AS (SELECT * REPLACE (
+    CASE WHEN "Trial" = '{s.FOCAL}' THEN "Spending" ELSE 0.0::DOUBLE END AS "Spending",
+    CASE WHEN "Trial" = '{s.FOCAL}' THEN "PPA" ELSE -1.0::DOUBLE END AS "PPA",
+    coalesce("Weekly", 'Unknown') AS "Weekly", coalesce("Daily", 'Unknown') AS "Daily") FROM liked),
+settled AS (SELECT * REPLACE (CASE WHEN "PPA" IS DISTINCT FROM -1 AND "Frequency_Visit" > 0
+      THEN "Spending" / "Frequency_Visit" ELSE "PPA" END AS "PPA"),
+    CASE WHEN "Spending" = -1 THEN '{fixed.SEGMENT_UNKNOWN}' WHEN "Spending" < 25000 THEN '{fixed.SEGMENT_MASS}'
+      WHEN "Spending" BETWEEN 25000 AND 59000 THEN '{fixed.SEGMENT_MASS_ASPIRING}'
+      WHEN "Spending" BETWEEN 60000 AND 99000 THEN '{fixed.SEGMENT_PREMIUM}'
+      ELSE '{fixed.SEGMENT_SUPER_PREMIUM}' END AS "Segmentation" FROM tried),
+scored AS (SELECT * REPLACE (coalesce("NPS_P3M", CASE
+      WHEN "Brand_Likability" = '{s.FOCAL}' OR "Segmentation" IN ('{fixed.SEGMENT_SUPER_PREMIUM}', '{fixed.SEGMENT_PREMIUM}') THEN 9
+      WHEN "Segmentation" = '{fixed.SEGMENT_MASS_ASPIRING}' THEN 8 ELSE -1 END) AS "NPS_P3M") FROM settled),
+b AS (SELECT quantile_cont("Frequency_Visit"::DOUBLE, 0.01) f0, quantile_cont("Frequency_Visit"::DOUBLE, 0.99) f1,
+    quantile_cont("Spending"::DOUBLE, 0.01) s0, quantile_cont("Spending"::DOUBLE, 0.99) s1,
+    quantile_cont("NPS_P3M"::DOUBLE, 0.01) n0, quantile_cont("NPS_P3M"::DOUBLE, 0.99) n1 FROM scored),
+health AS (SELECT * REPLACE (least(greatest("Frequency_Visit", f0), f1) AS "Frequency_Visit",
+    CASE WHEN "Spending" IS NOT NULL THEN least(greatest("Spending", s0), s1) END AS "Spending",
+    least(greatest("NPS_P3M", n0), n1) AS "NPS_P3M"),
+  CASE WHEN "NPS_P3M" >= 9 THEN 'Promoter' WHEN "NPS_P3M" >= 8 THEN 'Passive' ELSE 'Detractive' END AS "NPS_P3M_Group"
+  FROM scored, b)"""
+
+
 def _first_sql(name, source, order, columns):
     inner = ", ".join(f'"{x}"' for x in columns)
     return (
@@ -58,10 +107,9 @@ _INCOME = "CASE " + " ".join(
     f"WHEN \"MPI_Mean\" >= {lo} THEN '{name}'" for lo, name in reversed(fixed.INCOME_BANDS)
 ) + " END"
 MERGED_CTES = ",".join([
-    s.LINES_SQL, s.DEMOGRAPHICS_SQL, s.NEEDSTATES_SQL, s.BRANDHEALTH_SQL, s.BRAND_IMAGES_SQL, s.SPENDING_SQL,
+    s.LINES_SQL, s.DEMOGRAPHICS_SQL, s.NEEDSTATES_SQL, s.BRAND_IMAGES_SQL, HEALTH_CTES, s.SPENDING_SQL,
     _first_sql("ns", "(SELECT DISTINCT * FROM needstate)", s.NEED_ORDER, ["Needstates", "Daypart", "NeedstateGroup"]),
-    _first_sql("bh", "brandhealth WHERE \"Awareness\" IS NOT NULL", ["Brand"],
-               ["Brand", *_TEXT, "NPS_P3M"]),
+    _first_sql("bh", "health", ["Brand"], ["Brand", *_TEXT, "NPS_P3M", "Segmentation", "NPS_P3M_Group"]),
     _first_sql("bi", "brand_image", s.IMAGE_ORDER, ["Awareness", "Attribute", "BrandImage"]),
     f"""merged AS (
   SELECT a."ID", a."City", a."Year", a."TOM", a."BUMO", a."MostFavourite",
@@ -71,6 +119,7 @@ MERGED_CTES = ",".join([
     coalesce(bh."Brand", 'Unknown') AS "Brand",
     {", ".join(f"coalesce(bh.{chr(34)}{x}{chr(34)}, 'Unknown') AS {chr(34)}{x}{chr(34)}" for x in _TEXT)},
     coalesce(bh."NPS_P3M", -1) AS "NPS_P3M",
+    coalesce(bh."Segmentation", 'Unknown') AS "Segmentation", coalesce(bh."NPS_P3M_Group", 'Unknown') AS "NPS_P3M_Group",
     {", ".join(f"coalesce(bi.{chr(34)}{x}{chr(34)}, 'Unknown') AS {chr(34)}{x}{chr(34)}" for x in ["Awareness", "Attribute", "BrandImage"])},
     coalesce(sg."Visit", -1) AS "Visit", coalesce(sg."Spending", -1) AS "Spending", coalesce(sg."PPA", -1) AS "PPA"
   FROM sa_var a LEFT JOIN ns USING ("ID", "City", "Year") LEFT JOIN bh USING ("ID", "City", "Year")
@@ -86,6 +135,7 @@ def integrate_customer(spark, sf_dir):
 _MERGED_COLUMNS = [
     "ID", "City", "Year", "TOM", "BUMO", "MostFavourite", "BUMO_Previous", "Age_Group_2", "Occupation",
     "Needstates", "Daypart", "NeedstateGroup", "Brand", *_TEXT, "Awareness", "Attribute", "BrandImage", "Visit",
+    "Segmentation", "NPS_P3M_Group",
 ]
 integrate_customer_sql = f"""WITH {MERGED_CTES}
 SELECT {", ".join(f'"{x}"' for x in _MERGED_COLUMNS)},
@@ -103,20 +153,6 @@ def _health(spark, sf_dir):
 
 
 _HEALTH_WITH = f"WITH {s.LINES_SQL},{s.BRANDHEALTH_SQL}"
-_EVIDENCE = " AND ".join(
-    f"coalesce({x} = '{s.FOCAL}', false)"
-    for x in ['"P3M"', '"P1M"', 'coalesce("Spontaneous", "Awareness")', '"Brand_Likability"', '"Weekly"', '"Daily"']
-)
-_FILLED_SQL = f"""filled AS (
-  SELECT "ID", "City", "Year", "Brand", "Awareness",
-    coalesce("Spontaneous", "Awareness", 'Unknown') AS "Spontaneous",
-    coalesce("Trial", CASE WHEN {_EVIDENCE} THEN '{s.FOCAL}' ELSE 'Unknown' END) AS "Trial",
-    coalesce("P3M", "P1M", "Daily", "Weekly", 'Unknown') AS "P3M",
-    coalesce("P1M", "Daily", "Weekly", 'Unknown') AS "P1M", "Weekly", "Daily", "Brand_Likability",
-    coalesce("Comprehension", CASE WHEN "Awareness" = '{s.FOCAL}' THEN 'Know a little' ELSE 'Unknown' END) AS "Comprehension",
-    "Frequency_Visit", "PPA", "Spending", "NPS_P3M" FROM brandhealth)"""
-
-
 def clean_fills(spark, sf_dir):
     """Ordered and evidence-based fills of the funnel answers."""
     filled = cleaners.fill_funnel(_health(spark, sf_dir), s.FOCAL)
@@ -126,14 +162,6 @@ def clean_fills(spark, sf_dir):
 clean_fills_sql = f"""{_HEALTH_WITH}, {_FILLED_SQL}
 SELECT "ID", "City", "Year", "Brand", "Spontaneous", "Trial", "P3M", "P1M", "Comprehension" FROM filled"""
 
-_VISIT_SQL = " OR ".join(
-    f"coalesce(\"{x}\" = '{s.FOCAL}', false)" for x in ["Trial", "P3M", "P1M", "Brand_Likability", "Weekly", "Daily"]
-)
-_VISITED_SQL = f"""visited AS (
-  SELECT * REPLACE (coalesce("Frequency_Visit", CASE WHEN {_VISIT_SQL} THEN
-      (SELECT median("Frequency_Visit") FROM brandhealth) ELSE 0 END) AS "Frequency_Visit") FROM filled)"""
-
-
 def median_zero_fill(spark, sf_dir):
     """Visits filled with the median or zero; the table is read for the median and for the fill."""
     health = materialize(_health(spark, sf_dir))
@@ -144,14 +172,6 @@ def median_zero_fill(spark, sf_dir):
 median_zero_fill_sql = f"""{_HEALTH_WITH}, {_FILLED_SQL}, {_VISITED_SQL}
 SELECT "ID", "City", "Year", "Brand", CAST("Frequency_Visit" AS DOUBLE) AS "Frequency_Visit" FROM visited"""
 
-_LAST_IMAGE_SQL = """last_image AS (
-  SELECT "ID", arg_max("BrandImage", (_day, _order, _line, "BrandImage", "Attribute", "Awareness")) AS img
-  FROM brand_image GROUP BY "ID")"""
-_LIKED_SQL = """liked AS (
-  SELECT v.* REPLACE (coalesce("Brand_Likability", CASE WHEN "Frequency_Visit" > 3 THEN "Brand" END, img, 'Unknown')
-      AS "Brand_Likability") FROM visited v LEFT JOIN last_image USING ("ID"))"""
-
-
 def lookup_fill_last_wins(spark, sf_dir):
     """Likability gaps from own brand, then from the last brand image of the respondent."""
     rows = s.lines(spark, sf_dir)
@@ -173,32 +193,10 @@ def clean_brandhealth(spark, sf_dir):
     return rounded(cleaners.clean_brandhealth(s.brandhealth(rows), s.FOCAL, image, s.IMAGE_ORDER))
 
 
-clean_brandhealth_sql = f"""{_HEALTH_WITH.replace("brandhealth AS", "health_raw AS")}, {s.BRAND_IMAGES_SQL},
-brandhealth AS (SELECT * FROM health_raw WHERE "Awareness" IS NOT NULL),
-{_FILLED_SQL}, {_VISITED_SQL}, {_LAST_IMAGE_SQL}, {_LIKED_SQL},
-tried AS (SELECT * REPLACE (
-    CASE WHEN "Trial" = '{s.FOCAL}' THEN "Spending" ELSE 0.0::DOUBLE END AS "Spending",
-    CASE WHEN "Trial" = '{s.FOCAL}' THEN "PPA" ELSE -1.0::DOUBLE END AS "PPA",
-    coalesce("Weekly", 'Unknown') AS "Weekly", coalesce("Daily", 'Unknown') AS "Daily") FROM liked),
-settled AS (SELECT * REPLACE (CASE WHEN "PPA" IS DISTINCT FROM -1 AND "Frequency_Visit" > 0
-      THEN "Spending" / "Frequency_Visit" ELSE "PPA" END AS "PPA"),
-    CASE WHEN "Spending" = -1 THEN '{fixed.SEGMENT_UNKNOWN}' WHEN "Spending" < 25000 THEN '{fixed.SEGMENT_MASS}'
-      WHEN "Spending" BETWEEN 25000 AND 59000 THEN '{fixed.SEGMENT_MASS_ASPIRING}'
-      WHEN "Spending" BETWEEN 60000 AND 99000 THEN '{fixed.SEGMENT_PREMIUM}'
-      ELSE '{fixed.SEGMENT_SUPER_PREMIUM}' END AS "Segmentation" FROM tried),
-scored AS (SELECT * REPLACE (coalesce("NPS_P3M", CASE
-      WHEN "Brand_Likability" = '{s.FOCAL}' OR "Segmentation" IN ('{fixed.SEGMENT_SUPER_PREMIUM}', '{fixed.SEGMENT_PREMIUM}') THEN 9
-      WHEN "Segmentation" = '{fixed.SEGMENT_MASS_ASPIRING}' THEN 8 ELSE -1 END) AS "NPS_P3M") FROM settled),
-b AS (SELECT quantile_cont("Frequency_Visit"::DOUBLE, 0.01) f0, quantile_cont("Frequency_Visit"::DOUBLE, 0.99) f1,
-    quantile_cont("Spending"::DOUBLE, 0.01) s0, quantile_cont("Spending"::DOUBLE, 0.99) s1,
-    quantile_cont("NPS_P3M"::DOUBLE, 0.01) n0, quantile_cont("NPS_P3M"::DOUBLE, 0.99) n1 FROM scored)
+clean_brandhealth_sql = f"""WITH {s.LINES_SQL}, {s.BRAND_IMAGES_SQL}, {HEALTH_CTES}
 SELECT "ID", "City", "Year", "Brand", "Awareness", "Spontaneous", "Trial", "P3M", "P1M", "Weekly", "Daily",
-  "Brand_Likability", "Comprehension", "Segmentation", {sql_round('"PPA"', "PPA")},
-  {sql_round('least(greatest("Frequency_Visit", f0), f1)', "Frequency_Visit")},
-  {sql_round('CASE WHEN "Spending" IS NOT NULL THEN least(greatest("Spending", s0), s1) END', "Spending")},
-  {sql_round('least(greatest("NPS_P3M", n0), n1)', "NPS_P3M")},
-  CASE WHEN "NPS_P3M" >= 9 THEN 'Promoter' WHEN "NPS_P3M" >= 8 THEN 'Passive' ELSE 'Detractive' END AS "NPS_P3M_Group"
-FROM scored, b"""
+  "Brand_Likability", "Comprehension", "Segmentation", "NPS_P3M_Group",
+  {", ".join(sql_round(f'"{x}"', x) for x in ["PPA", "Frequency_Visit", "Spending", "NPS_P3M"])} FROM health"""
 
 
 # ---- the other cleaners ------------------------------------------------------
@@ -420,9 +418,13 @@ _FEATURE_COLUMNS = [
 ]
 
 
+def featured(spark, sf_dir):
+    """The cleaned, integrated table with the behaviour features of each respondent."""
+    return build_features(merged(spark, sf_dir), BRANDS, s.NEED_TEXT)
+
+
 def brand_features(spark, sf_dir):
-    rows = build_features(merged(spark, sf_dir), BRANDS, s.NEED_TEXT)
-    return rows.select("ID", "City", *_FEATURE_COLUMNS)
+    return featured(spark, sf_dir).select("ID", "City", *_FEATURE_COLUMNS)
 
 
 _KEEP_SQL = ", ".join(f"'{x}'" for x in s.KEEP)
@@ -511,7 +513,7 @@ ENCODE_SPEC = FeatureSpec(
 
 def encode_all(spark, sf_dir):
     """The whole encoder on the integrated, featured table, in long form."""
-    rows = materialize(build_features(merged(spark, sf_dir), BRANDS, s.NEED_TEXT))
+    rows = materialize(featured(spark, sf_dir))
     model = FeatureEncoder(ENCODE_SPEC).fit(rows)
     return _long(model.transform(rows, ["ID"]), "ID")
 

@@ -32,5 +32,19 @@ def test_entry(spark):
     assert df.count() == 3 and "size" in df.columns
 
 
+def test_segments_cover_the_cleaned_integration(spark):
+    """Segment sizes and means add up to those of the cleaned, integrated, featured respondents."""
+    from segspark.queries import clusters, survey
+
+    profile = entry.queries()["customer_segments"](spark, SF).toPandas()
+    rows = survey.featured(spark, SF).toPandas()
+    assert profile["size"].sum() == len(rows) and rows["ID"].is_unique
+    for name in clusters.SEGMENT_NUMBERS:
+        total = (profile["size"] * profile[f"{name}_mean"]).sum()
+        assert total == pytest.approx(rows[name].astype(float).sum(), rel=1e-4, abs=1e-2)
+    for name in clusters.SEGMENT_MODES:
+        assert set(profile[f"{name}_mode"]) <= set(rows[name])
+
+
 def test_no_sql_without_query():
     assert set(SQL) <= set(QUERIES)
