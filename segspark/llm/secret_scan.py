@@ -3,22 +3,24 @@
 Everything is DataFrame and SQL expressions; no Python runs on executors.
 
 Base spans are the matches of three forms (`FORMS`), leftmost and non-overlapping per form. The battery
-looks at runs of 20 or more base64 characters that hold a letter and a digit and overlap no base
-span. Each is given the narrowest encoding whose alphabet holds it, and three tests ask whether an
-ordinary string (a name, a path, a joined phrase with a number) could look like it:
-
-* chi-squared uniformity over the alphabet. Ordinary strings use characters unevenly: their
-  statistic is that of a uniform one plus `UNEVEN` per character, so a small statistic is evidence;
-* runs: changes between digits, capitals, small letters and signs come at most at a rate of
-  `CHANGES` in ordinary strings, so many changes are evidence;
-* serial correlation of neighbouring alphabet positions is at least `SERIAL` in ordinary strings, where
-  characters of one kind stand together, so none is evidence.
-
-The three z-values are added, as correlated by 0.5, into one p-value. Which p-values count is decided per
-length class (powers of two) by a step-up false-discovery rule over the whole corpus: long and
-short candidates do not share a threshold, since short ones carry less evidence. The rule needs only
-the number of candidates per class and p-value bin (at most 26 x 401 rows, pre-aggregated), whatever the
-corpus, and its thresholds become literals.
+looks at runs of 20 or more base64 characters that hold a letter and a digit and overlap no base span,
+and at the parts of 20 or more between their `/`, `-` and `_` (a secret behind a path); parts of a run
+that is found whole are not reported. Each is given the narrowest encoding whose alphabet holds it, and
+three tests measure in standard deviations how far it is from a random string of that encoding:
+
+* chi-squared uniformity over the alphabet: ordinary strings (names, paths, joined phrases with a number) use
+  characters unevenly;
+* runs: ordinary strings change less often between digits, capitals, small letters and signs;
+* serial correlation of neighbouring alphabet positions: characters of one kind stand together.
+
+The three distances, each bounded, add up to one, near a standard normal for random strings whatever their
+encoding. What is tested is the null hypothesis of an ordinary string, whose distance depends on encoding and
+length: per encoding and length class (quarters of a power of two), its mean and spread are fitted to all candidates
+of the corpus as a mixture with the known distances of random strings, under fixed values that weigh as
+much as `PRIOR_WEIGHT` candidates, so that rare encodings have a null too. A step-up false-discovery rule per power of two of the length then
+decides over the whole corpus: long and short candidates do not share a threshold, since short ones carry
+less evidence. All this needs only the counts per encoding, length class and bin of the distance (at most
+9 x 16 x 500 rows, pre-aggregated), whatever the corpus, and the thresholds become literals.
 
 Results for odd cases: a null text counts as empty and has no spans. Texts are scanned whole. Repeated
 rows give repeated results; an empty table an empty one; a null id stays null. Positions are code
@@ -28,6 +30,7 @@ by `scan`, and `redact` works under names of its own, so other columns cannot cl
 
 from __future__ import annotations
 
+import math
 import string
 
 from pyspark.sql import Column, DataFrame
@@ -54,9 +57,20 @@ ALPHABETS = {
     "base64": (DIGITS + UPPER + LOWER + "+/"), "base64url": (DIGITS + UPPER + LOWER + "-_"), "mixed": (DIGITS + UPPER + LOWER + "+/-_"),
 }
 
-UNEVEN, CHANGES, SERIAL = 0.73, 0.25, 0.4
+# An ordinary string, before the corpus has been seen: share of equal pairs of characters above that of a random
+# string, changes of kind against a random string, serial correlation, spread of the distance.
+EQUAL_PAIRS, LEAST_UNEVEN, CHANGES, SERIAL, SPREAD = 0.045, 0.73, 0.5, 0.4, 1.2
+PRIOR_WEIGHT, ROUNDS = 30, 40
+RANDOM = (-0.15, 1.2)  # mean and spread of the distance of random strings, from trials at 20 to 40 characters
+NEAREST, FARTHEST, BIN = -2.0, 12.0, 0.05  # bounds of one test's distance; width of a bin of the sum
+SHORTEST, LONGEST = 17, 32  # length classes: quarters of a power of two, from 20 and up to 256 characters
 FALSE_DISCOVERIES = 0.05
-BINS_PER_DECADE, MOST_BINS = 20, 400
+
+
+def _change_rate(alphabet: str) -> float:
+    """How often neighbours in a random string are of different kinds."""
+    kinds = [sum(ch in kind for ch in alphabet) for kind in (DIGITS, UPPER, LOWER)]
+    return 1 - sum((n / len(alphabet)) ** 2 for n in [*kinds, len(alphabet) - sum(kinds)])
 
 
 def _running(array: str) -> str:
@@ -96,62 +110,65 @@ def _located(df: DataFrame, text: str, out: str, pattern: str, gate: str, group:
     return df.withColumn(out, F.coalesce(F.when(F.size("~steps") > 0, F.expr(spans)), empty)).drop("~raw", "~steps", "~before")
 
 
-def _normal_below(z: Column) -> Column:
-    """The normal distribution function, by the published rational approximation of its tail."""
-    size = F.abs(z)
-    t = F.lit(1.0) / (F.lit(1.0) + F.lit(0.2316419) * size)
-    poly = F.lit(0.0)
-    for c in (1.330274429, -1.821255978, 1.781477937, -0.356563782, 0.319381530):
-        poly = (poly + F.lit(c)) * t
-    tail = F.exp(-size * size / 2) * F.lit(0.3989422804014327) * poly
-    return F.when(z < 0, tail).otherwise(1 - tail)
+def _with_parts(run: str) -> str:
+    """SQL: a run and its parts of 20 or more characters between separators, as an array."""
+    one = "named_struct('start', {0}, 'end', {1}, 'value', {2}, 'whole', {3})"
+    longer = f"IF(length(w) >= 20, concat(s.out, array({one.format('s.at', 's.at + length(w)', 'w', 'false')})), s.out)"
+    parts = (
+        f"aggregate(split(rtrim('=', {run}.value), '[/_-]'), named_struct('at', {run}.start, 'out',"
+        " CAST(array() AS array<struct<start:bigint,end:bigint,value:string,whole:boolean>>)),"
+        f" (s, w) -> named_struct('at', s.at + length(w) + 1, 'out', {longer}), s -> s.out)"
+    )
+    whole = f"array({one.format(f'{run}.start', f'{run}.end', f'{run}.value', 'true')})"
+    return f"IF({run}.value RLIKE '[/_-]', concat({whole}, {parts}), {whole})"
+
 
+def _tested(df: DataFrame, groups: str) -> DataFrame:
+    """Replaces the arrays of candidates by (start, end, whole, encoding, length_class, bin)."""
+    def by_encoding(value) -> str:
+        return "CASE c.encoding " + " ".join(f"WHEN '{n}' THEN {value(a)}" for n, a in ALPHABETS.items()) + " END"
 
-def _tested(df: DataFrame, candidates: str) -> DataFrame:
-    """Replaces the array of candidates by one of (start, end, encoding, length_class, bin)."""
-    quoted = lambda s: "'" + s + "'"
     encoding = "CASE " + " ".join(f"WHEN c.core RLIKE '^[{a.replace('-', '')}{'-' * ('-' in a)}]+$' THEN '{n}'" for n, a in ALPHABETS.items()) + " END"
-    alphabet = "CASE c.encoding " + " ".join(f"WHEN '{n}' THEN {quoted(a)}" for n, a in ALPHABETS.items()) + " END"
     kinds = f"translate(c.core, '{DIGITS + UPPER + LOWER}+/-_', '{'0' * 10 + '1' * 26 + '2' * 26 + '3333'}')"
+    place = "'start', c.start, 'end', c.end, 'whole', c.whole"
     steps = [
-        "named_struct('start', c.start, 'end', c.end, 'core', rtrim('=', c.value))",
-        f"named_struct('start', c.start, 'end', c.end, 'core', c.core, 'encoding', {encoding}, 'kinds', {kinds})",
-        f"named_struct('start', c.start, 'end', c.end, 'core', c.core, 'encoding', c.encoding, 'alphabet', {alphabet},"
+        f"named_struct({place}, 'core', rtrim('=', c.value))",
+        f"named_struct({place}, 'core', c.core, 'encoding', {encoding}, 'kinds', {kinds})",
+        f"named_struct({place}, 'core', c.core, 'encoding', c.encoding, 'alphabet', {by_encoding(lambda a: repr(a))},"
+        f" 'rate', CAST({by_encoding(_change_rate)} AS DOUBLE),"
         " 'n', length(c.core), 'changes', length(regexp_replace(c.kinds, '(.)\\\\1+', '$1')) - 1)",
-        "named_struct('start', c.start, 'end', c.end, 'encoding', c.encoding, 'n', c.n, 'k', length(c.alphabet), 'changes', c.changes,"
+        f"named_struct({place}, 'encoding', c.encoding, 'n', c.n, 'k', length(c.alphabet), 'rate', c.rate, 'changes', c.changes,"
         " 'squares', aggregate(sequence(1, length(c.alphabet)), 0D, (s, i) -> s + power(c.n - length(replace(c.core, substr(c.alphabet, i, 1), '')), 2)),"
         " 'v', transform(filter(split(c.core, ''), h -> h <> ''), h -> CAST(locate(h, c.alphabet) AS DOUBLE)))",
-        "named_struct('start', c.start, 'end', c.end, 'encoding', c.encoding, 'n', c.n, 'k', c.k, 'changes', c.changes, 'squares', c.squares,"
+        f"named_struct({place}, 'encoding', c.encoding, 'n', c.n, 'k', c.k, 'rate', c.rate, 'changes', c.changes, 'squares', c.squares,"
         " 'mean', aggregate(c.v, 0D, (s, x) -> s + x) / c.n, 'power2', aggregate(c.v, 0D, (s, x) -> s + x * x) / c.n,"
         " 'lagged', aggregate(zip_with(slice(c.v, 1, c.n - 1), slice(c.v, 2, c.n - 1), (a, b) -> a * b), 0D, (s, x) -> s + x) / (c.n - 1))",
     ]
-    keep = "c -> c.value RLIKE '[0-9]' AND c.value RLIKE '[A-Za-z]'"
-    df = df.withColumn(candidates, F.expr(f"filter({candidates}, {keep})"))
     for step in steps:
-        df = df.withColumn(candidates, F.expr(f"transform({candidates}, c -> {step})"))
+        df = df.withColumn(groups, F.expr(f"transform({groups}, g -> transform(g, c -> {step}))"))
 
     def judged(c: Column) -> Column:
-        n, k = c["n"].cast("double"), c["k"].cast("double")
-        chi = k / n * c["squares"] - n
-        uniform = (chi - (k - 1) - (n - 1) * UNEVEN) / F.sqrt(2 * (k - 1) + 4 * (n - 1) * UNEVEN)
-        runs = ((n - 1) * CHANGES - c["changes"]) / F.sqrt((n - 1) * CHANGES * (1 - CHANGES))
+        n, k, rate = c["n"].cast("double"), c["k"].cast("double"), c["rate"]
+        uneven = (k / n * c["squares"] - n - (k - 1)) / F.sqrt(2 * (k - 1))
+        runs = ((n - 1) * rate - c["changes"]) / F.sqrt((n - 1) * rate * (1 - rate))
         spread = c["power2"] - c["mean"] * c["mean"]
         r = F.when(spread > 0, (c["lagged"] - c["mean"] * c["mean"]) / spread).otherwise(F.lit(1.0))
         r = F.least(F.greatest(r, F.lit(-0.99)), F.lit(0.99))
-        fisher = (F.log((1 + r) / (1 - r)) / 2 - F.log(F.lit((1 + SERIAL) / (1 - SERIAL))) / 2) * F.sqrt(n - 3)
-        p = _normal_below((uniform + runs + fisher) / F.sqrt(F.lit(6.0)))
-        level = F.floor(-F.log10(F.greatest(p, F.lit(1e-300))) * BINS_PER_DECADE)
+        serial = F.log((1 + r) / (1 - r)) / 2 * F.sqrt(n - 3)
+        distance = F.lit(0.0)
+        for z in (uneven, runs, serial):
+            distance = distance + F.least(F.greatest(z, F.lit(NEAREST)), F.lit(FARTHEST))
         return F.struct(
-            c["start"].alias("start"), c["end"].alias("end"), c["encoding"].alias("encoding"),
-            F.floor(F.log2(n)).cast("int").alias("length_class"),
-            F.least(F.greatest(level, F.lit(0)), F.lit(MOST_BINS)).cast("int").alias("bin"),
+            c["start"].alias("start"), c["end"].alias("end"), c["whole"].alias("whole"), c["encoding"].alias("encoding"),
+            F.least(F.floor(F.log2(n) * 4), F.lit(LONGEST)).cast("int").alias("length_class"),
+            F.floor((distance - 3 * NEAREST) / (BIN * 3**0.5)).cast("int").alias("bin"),
         )
 
-    return df.withColumn(candidates, F.transform(candidates, judged))
+    return df.withColumn(groups, F.transform(groups, lambda g: F.transform(g, judged)))
 
 
 def with_spans(df: DataFrame, text: str) -> DataFrame:
-    """Adds `~base`, the base spans in order as (start, rank, end), and `~candidates`, tested."""
+    """Adds `~base`, the base spans in order as (start, rank, end), and `~candidates`, per run the tested run and parts."""
     df = df.withColumn("~body", F.coalesce(F.col(text).cast("string"), F.lit("")))
     for kind, (pattern, group, least) in FORMS.items():
         df = _located(df, "~body", f"~{kind}", pattern, GATES[kind], group)
@@ -159,28 +176,73 @@ def with_spans(df: DataFrame, text: str) -> DataFrame:
     ranked = [F.expr(f"transform(`~{kind}`, c -> named_struct('start', c.start, 'rank', {r}, 'end', c.end))") for r, kind in enumerate(FORMS)]
     df = df.withColumn("~base", F.array_sort(F.concat(*ranked))).drop(*(f"~{k}" for k in FORMS))
     df = _located(df, "~body", "candidates", CANDIDATE, CANDIDATE, 0)
-    df = df.withColumn("candidates", F.expr("filter(candidates, c -> NOT exists(`~base`, b -> b.start < c.end AND c.start < b.end))"))
+    fit = "c.value RLIKE '[0-9]' AND c.value RLIKE '[A-Za-z]' AND NOT exists(`~base`, b -> b.start < c.end AND c.start < b.end)"
+    df = df.withColumn("candidates", F.expr(f"transform(candidates, c -> filter({_with_parts('c')}, c -> {fit}))"))
     return _tested(df, "candidates").withColumnRenamed("candidates", "~candidates").drop("~body")
 
 
-def thresholds(tested: DataFrame, q: float = FALSE_DISCOVERIES) -> dict[int, int]:
-    """Per length class the smallest bin (largest p-value) at which false discoveries are at most a share q."""
-    counts = tested.select(F.explode("~candidates").alias("c")).groupBy("c.length_class", "c.bin").count().collect()
-    out: dict[int, int] = {}
-    for length_class in {r["length_class"] for r in counts}:
-        own = sorted(((r["bin"], r["count"]) for r in counts if r["length_class"] == length_class), reverse=True)
-        total, found = sum(c for _, c in own), 0
-        for level, count in own:
+def _ordinary(encoding: str, length_class: int, counts: dict[int, int]) -> tuple[float, float]:
+    """Mean and spread of the distance of ordinary strings of one encoding and length class.
+
+    The corpus's candidates are a mixture of random strings, whose distances are known, and ordinary ones."""
+    k, rate = len(ALPHABETS[encoding]), _change_rate(ALPHABETS[encoding])
+    n = max(20.0, 2 ** (length_class / 4))
+    uneven = (n - 1) * max(LEAST_UNEVEN, EQUAL_PAIRS * k - 1) / math.sqrt(2 * (k - 1))
+    runs = (n - 1) * rate * CHANGES / math.sqrt((n - 1) * rate * (1 - rate))
+    fixed = sum(min(z, FARTHEST) for z in (uneven, runs, math.atanh(SERIAL) * math.sqrt(n - 3))) / math.sqrt(3)
+    seen = [(_distance(level) + BIN / 2, count) for level, count in counts.items()]
+    middle, spread, random = fixed, SPREAD, 0.5
+    for _ in range(ROUNDS):
+        weights = []
+        for x, count in seen:
+            own = (1 - random) / spread * math.exp(-(((x - middle) / spread) ** 2) / 2)
+            other = random / RANDOM[1] * math.exp(-(((x - RANDOM[0]) / RANDOM[1]) ** 2) / 2)
+            weights.append(count * (own / (own + other) if own + other > 0 else 1.0))
+        ordinary = sum(weights)
+        random = min(max(1 - ordinary / sum(count for _, count in seen), 0.001), 0.999)
+        middle = (PRIOR_WEIGHT * fixed + sum(w * x for w, (x, _) in zip(weights, seen))) / (PRIOR_WEIGHT + ordinary)
+        square = sum(w * (x - middle) ** 2 for w, (x, _) in zip(weights, seen))
+        spread = math.sqrt((PRIOR_WEIGHT * SPREAD**2 + square) / (PRIOR_WEIGHT + ordinary))
+    return middle, spread
+
+
+def _distance(level: int) -> float:
+    """Lower end of a bin."""
+    return level * BIN + math.sqrt(3) * NEAREST
+
+
+def thresholds(tested: DataFrame, q: float = FALSE_DISCOVERIES) -> dict[tuple[str, int], int]:
+    """Per encoding and length class the largest bin at which false discoveries are at most a share q of the octave's."""
+    cells: dict[tuple[str, int], dict[int, int]] = {}
+    each = tested.select(F.explode(F.flatten("~candidates")).alias("c"))
+    for r in each.groupBy("c.encoding", "c.length_class", "c.bin").count().collect():
+        cells.setdefault((r["encoding"], r["length_class"]), {})[r["bin"]] = r["count"]
+    octaves: dict[int, list] = {}
+    for key, counts in cells.items():
+        middle, spread = _ordinary(*key, counts)
+        for level, count in counts.items():
+            p = math.erfc((middle - _distance(level + 1)) / spread / math.sqrt(2)) / 2
+            octaves.setdefault(key[1] // 4, []).append((p, key, level, count))
+    out: dict[tuple[str, int], int] = {}
+    for tests in octaves.values():
+        total, found, last = sum(x[-1] for x in tests), 0, -1.0
+        tests.sort()
+        for p, _, _, count in tests:
             found += count
-            if total * 10 ** (-level / BINS_PER_DECADE) <= q * found:
-                out[length_class] = level
+            last = p if total * p <= q * found else last
+        for p, key, level, _ in tests:
+            if p <= last:
+                out[key] = max(level, out.get(key, level))
     return out
 
 
-def _accepted(levels: dict[int, int]) -> Column:
+def _accepted(levels: dict[tuple[str, int], int]) -> Column:
     """All spans, base and random, as sorted (start, rank, end)."""
-    clauses = " OR ".join(f"(c.length_class = {n} AND c.bin >= {b})" for n, b in sorted(levels.items())) or "false"
-    random = F.expr(f"transform(filter(`~candidates`, c -> {clauses}), c -> named_struct('start', c.start, 'rank', {len(FORMS)}, 'end', c.end))")
+    clauses = [f"(c.encoding = '{e}' AND c.length_class = {n} AND c.bin <= {b})" for (e, n), b in sorted(levels.items())]
+    hit = f"({' OR '.join(clauses) or 'false'})"
+    groups = f"transform(`~candidates`, g -> filter(g, c -> {hit}))"
+    groups = f"transform({groups}, g -> IF(exists(g, c -> c.whole), filter(g, c -> c.whole), g))"
+    random = F.expr(f"transform(flatten({groups}), c -> named_struct('start', c.start, 'rank', {len(FORMS)}, 'end', c.end))")
     return F.array_sort(F.concat("~base", random))
 
 

@@ -50,6 +50,66 @@ def test_battery_tells_random_from_ordinary(spark):
     assert sum(hits) > 0.8 * len(hits) and sum(false) <= 0.05 * (sum(hits) + sum(false)) + 1
 
 
+ENCODINGS = {
+    "base62": string.ascii_letters + string.digits, "base64": string.ascii_letters + string.digits + "+/",
+    "HEX": string.digits + "ABCDEF", "base36": string.digits + string.ascii_lowercase, "base32": string.ascii_uppercase + "234567",
+}
+WORDS = """the of and to in is that for it was on are as with his they at be this from have or by one had not but what all were when we
+there can an your which their said if do will each about how up out them then she many some so these would other into has more""".split()
+
+
+def _secret(alphabet, n):
+    while True:
+        s = "".join(random.choices(alphabet, k=n))
+        if re.search("[0-9]", s) and re.search("[A-Za-z]", s) and not base(s):
+            return s
+
+
+def _ordinary(i):
+    while True:
+        words, number = random.choices(WORDS, k=random.randint(3, 9)), str(random.randint(0, 2030))
+        s = ("".join(words) + number, "".join(w.title() for w in words) + number, "/".join([*words, "page" + number]),
+             "_".join([*words, number]), "-".join([*words, number]), "_".join([*(w.upper() for w in words), number]))[i % 6]
+        if 20 <= len(s) <= 64 and not base(s):
+            return s
+
+
+def _found(spark, strings):
+    rows = [(i, f"see {s} here") for i, s in enumerate(strings)]
+    return {r["doc_id"]: r["spans"] for r in scan(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "spans").collect()}
+
+
+def test_recall_and_false_finds_per_encoding(spark):
+    random.seed(12)
+    cells = [(e, n) for e in ENCODINGS for n in (24, 32, 40) for _ in range(30)]
+    strings = [_secret(ENCODINGS[e], n) for e, n in cells] + [_ordinary(i) for i in range(4 * len(cells))]
+    found = _found(spark, strings)
+    hits = [bool(found[i]) for i in range(len(strings))]
+    false = sum(hits[len(cells):])
+    assert false <= 0.05 * sum(hits)
+    recall = {c: sum(h for h, d in zip(hits, cells) if d == c) / 30 for c in set(cells)}
+    for (_, n), r in recall.items():
+        assert r >= {24: 0.4, 32: 0.8, 40: 0.8}[n], recall
+
+
+def test_no_secrets_no_finds(spark):
+    random.seed(13)
+    assert sum(map(bool, _found(spark, [_ordinary(i) for i in range(1500)]).values())) <= 1
+
+
+def test_secret_behind_a_path_is_a_part(spark):
+    """Behind a long path the part is reported with its own place; a run found whole has no parts beside it."""
+    random.seed(14)
+    path = "/".join(["files", *WORDS[:24]]) + "/"
+    parts = [_secret(ENCODINGS["base62"], 40) for _ in range(40)]
+    found = _found(spark, [path + s for s in parts] + [_ordinary(i) for i in range(160)])
+    want = f"random:{4 + len(path)}:{4 + len(path) + 40}"
+    assert sum(found[i] == want for i in range(40)) >= 32
+    assert all("," not in spans for spans in found.values())
+    slashed = [_secret(ENCODINGS["base64"], 30) + "/" + _secret(ENCODINGS["base64"], 30) for _ in range(40)]
+    assert all("," not in spans for spans in _found(spark, slashed).values())
+
+
 def test_odd_rows_and_redaction(spark):
     df = odd_documents(spark)
     out = scan(df)
