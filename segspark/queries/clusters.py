@@ -120,11 +120,11 @@ attach_labels_sql = "SELECT c_custkey, c_nationkey, (c_acctbal > 0)::INTEGER AS
 
 
 def encode_other_rows(spark, sf_dir):
-    """State fitted on the customers of one half, applied to the other: unseen categories are all zero."""
+    """State fitted on some customers, applied to all: categories not seen in the fit are all zero."""
     rows = table(spark, sf_dir, "customer").withColumn("nation", F.col("c_nationkey").cast("string"))
     learnt = rows.where("c_acctbal >= 5000 AND c_nationkey < 20")
     spec = FeatureSpec(numeric=["c_acctbal"], categorical=["nation"], scaler="minmax")
-    encoded = FeatureEncoder(spec).fit(learnt).transform_array(rows.where("c_acctbal < 5000"), ["c_custkey"])
+    encoded = FeatureEncoder(spec).fit(learnt).transform_array(rows, ["c_custkey"])
     hot = F.slice("features", 2, 1000)
     return rounded(
         encoded.select(
@@ -138,7 +138,7 @@ encode_other_rows_sql = f"""WITH l AS (SELECT * FROM customer WHERE c_acctbal >=
 m AS (SELECT min(c_acctbal) AS lo, max(c_acctbal) AS hi, count(DISTINCT c_nationkey)::BIGINT AS width FROM l),
 n AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS place FROM (SELECT DISTINCT c_nationkey::VARCHAR AS v FROM l))
 SELECT c_custkey, {sql_round("(c_acctbal - lo) / (hi - lo)", "acctbal")}, width, coalesce(place, 0) AS place
-FROM customer CROSS JOIN m LEFT JOIN n ON v = c_nationkey::VARCHAR WHERE c_acctbal < 5000"""
+FROM customer CROSS JOIN m LEFT JOIN n ON v = c_nationkey::VARCHAR"""
 
 # ---- density clustering -------------------------------------------------------------
 
