@@ -331,6 +331,21 @@ def csv_roundtrip(spark, sf_dir):
     return read_delimited(spark, path, ",", rows.schema, "utf-8")
 
 
+def csv_multiline_roundtrip(spark, sf_dir):
+    """Documents, most of them of several lines, written as delimited text and read back in splits."""
+    import uuid
+
+    rows = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    path = f"{scratch_root(spark).rstrip('/')}/segspark/{uuid.uuid4().hex}.csv"
+    rows.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option(
+        "ignoreTrailingWhiteSpace", False).csv(path)
+    back = read_delimited(spark, path, ",", rows.schema, "utf-8", multiline=True)
+    return back.select("doc_id", "lang", F.length("text").cast("long").alias("n_chars"), F.md5("text").alias("text_md5"))
+
+
+csv_multiline_roundtrip_sql = "SELECT doc_id, lang, length(text) AS n_chars, md5(text) AS text_md5 FROM documents"
+
+
 def table_report(spark, sf_dir):
     return d.table_report(table(spark, sf_dir, "orders"))
 
@@ -381,6 +396,7 @@ QUERIES = {
     "distinctive_features": (distinctive_features, distinctive_features_sql),
     "variance_rank": (variance_rank, variance_rank_sql),
     "csv_roundtrip": (csv_roundtrip, "SELECT * FROM customer"),
+    "csv_multiline_roundtrip": (csv_multiline_roundtrip, csv_multiline_roundtrip_sql),
     "table_report": (table_report, table_report_sql),
     "select_by_cardinality": (select_by_cardinality, _cardinality_sql()),
 }

@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from segspark.operators.tables import nan_to_null, require_columns
+from segspark.sources import records
 
 DELIMITERS = (",", ";", "\t", "|")
-BOM = "﻿"
+BOM = records.BOM
 
 
 @dataclass(frozen=True)
@@ -63,6 +64,10 @@ def _unquoted(line) -> Column:
     return F.regexp_replace(line, '"[^"]*"', "")
 
 
+def _fields(record, sep: str) -> Column:
+    return F.size(F.split(_unquoted(record), f"\\Q{sep}\\E", -1))
+
+
 def sniff_delimiter(spark: SparkSession, path: str) -> str:
     """The candidate that splits the most lines into as many fields as the header, then into the most fields.
 
@@ -94,12 +99,16 @@ def read_delimited(
 ) -> DataFrame:
     """Header row, given separator; encoding, and whether records span lines, are found by reading when not given.
 
-    A file whose records span lines cannot be split: one task reads it.
+    Records that span lines are put together by quote parity, in as many tasks as the file has splits;
+    only an encoding whose line ends are not single bytes leaves such a file to one task.
     """
     spans = has_quoted_newlines(spark, path) if multiline is None else multiline
+    encoding = encoding or text_encoding(spark, path)
+    if spans and encoding.lower() in records.SPLITTABLE:
+        return nan_to_null(records.read_records(spark, path, sep, schema, encoding))
     reader = (
         spark.read.option("sep", sep).option("header", True).option("quote", '"').option("escape", '"')
-        .option("encoding", encoding or text_encoding(spark, path)).option("multiLine", spans)
+        .option("encoding", encoding).option("multiLine", spans)
     )
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     df = reader.csv(path)
@@ -129,16 +138,17 @@ def load_directory(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 def _read_tolerant(spark: SparkSession, path: str) -> DataFrame:
     sep, encoding, spans = sniff_delimiter(spark, path), text_encoding(spark, path), has_quoted_newlines(spark, path)
-    inferred = read_delimited(spark, path, sep, encoding=encoding, multiline=spans)
+    if spans:
+        return nan_to_null(records.read_records(spark, path, sep, None, encoding, lambda record: _fields(record, sep)))
+    inferred = read_delimited(spark, path, sep, encoding=encoding, multiline=False)
     names = inferred.columns
     schema = T.StructType([*inferred.schema.fields, T.StructField("_line", T.StringType())])
     df = (
         spark.read.option("sep", sep).option("header", True).option("encoding", encoding)
-        .option("quote", '"').option("escape", '"').option("enforceSchema", True).option("multiLine", spans)
+        .option("quote", '"').option("escape", '"').option("enforceSchema", True)
         .option("columnNameOfCorruptRecord", "_line").schema(schema).csv(path)
     )
-    fields = F.size(F.split(_unquoted("_line"), f"\\Q{sep}\\E", -1))
-    surplus = F.coalesce(fields > len(names), F.lit(False))
+    surplus = F.coalesce(_fields("_line", sep) > len(names), F.lit(False))
     return nan_to_null(df.where(~surplus).select(*names))
 
 
