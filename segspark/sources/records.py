@@ -2,9 +2,9 @@
 
 A line feed ends a record only outside quotes, and whether a line starts outside quotes depends on
 all lines before it. Every split of the scan therefore counts quotes from its own start; a running
-sum over one small row per split then tells how each split really began. A line with an even number
-of quotes that starts outside is a whole record; only lines of longer records are brought together,
-by record. A record can begin and end in any split, or fill several.
+sum over one small row per split then tells how each split really began, and so which record every
+line belongs to. Lines are brought together by record in one range shuffle. A record can begin and
+end in any split, or fill several.
 """
 
 from __future__ import annotations
@@ -74,32 +74,51 @@ def _splits(lines: DataFrame) -> DataFrame:
     return begun.select("file", "split", "carried", F.last(last, ignorenulls=True).over(before).alias("open"))
 
 
+def _placed(spark: SparkSession, path: str) -> DataFrame:
+    """Every line with the split and number (``at``, ``number``) of the record it belongs to."""
+    scan = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+        F.col("value").cast("binary").alias("value"),
+    )
+    lines = materialize(scan.mapInArrow(_counted, _LINES))
+    own = F.when(F.col("carried"), F.col("inner")).otherwise(F.col("outer"))
+    first = F.when(own > 0, F.struct(F.col("split").alias("at"), own.alias("number"))).otherwise(F.col("open"))
+    placed = lines.join(_splits(lines), ["file", "split"]).withColumn("first", first)
+    return placed.select("file", "first.at", "first.number", "split", "no", "value")
+
+
+def _gathered(placed: DataFrame, encoding: str) -> DataFrame:
+    """(file, at, number, record) in file order, blank ones left out.
+
+    The range partitioning that orders the records also brings the lines of each together, so lines
+    are shuffled once.
+    """
+    key = ["file", "at", "number"]
+    parts = F.array_sort(F.collect_list(F.struct("split", "no", "value")))
+    gathered = placed.repartitionByRange(*key).groupBy(*key).agg(parts.alias("parts")).sortWithinPartitions(*key)
+    value = F.expr("aggregate(slice(parts, 2, size(parts)), parts[0].value, (text, part) -> concat(text, X'0A', part.value))")
+    text = value.cast("string") if encoding.lower() == "utf-8" else F.decode(value, encoding.upper())
+    return gathered.select(*key, F.regexp_replace(text, r"\r\z", "").alias("record")).where(_filled("record"))
+
+
+def _filled(text) -> Column:
+    return (F.col(text) if isinstance(text, str) else text).rlike(r"[^\x00-\x20]")
+
+
+def _headers(placed: DataFrame) -> DataFrame:
+    """(file, place): the record of each file's first line that is not blank."""
+    filled = placed.where(_filled(F.col("value").cast("string")))
+    return filled.groupBy("file").agg(F.min(F.struct("at", "number")).alias("place"))
+
+
 def records(spark: SparkSession, path: str, encoding: str = "utf-8") -> DataFrame:
-    """(file, at, number, record): every record that is not blank, header records included.
+    """(file, at, number, record): every record that is not blank, header records included, in file order.
 
     ``at`` and ``number`` (split and place in it of the record's first line) order a file's records.
     Records end at a line feed; a carriage return before it goes. A quote that is never closed makes
     the rest of its file one record. An empty file has no records.
     """
-    scan = spark.read.option("lineSep", "\n").text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
-        F.col("value").cast("binary").alias("value"),
-    )
-    lines = materialize(scan.mapInArrow(_counted, _LINES))
-    placed = lines.join(_splits(lines), ["file", "split"]).withColumn(
-        "number", F.when(F.col("carried"), F.col("inner")).otherwise(F.col("outer"))
-    )
-    whole = (F.col("inside") == F.col("carried")) & ~F.col("odd")
-    first = F.when(F.col("number") > 0, F.struct(F.col("split").alias("at"), "number")).otherwise(F.col("open"))
-    single = placed.where(whole).select("file", F.col("split").alias("at"), "number", "value")
-    parts = placed.where(~whole).select("file", first.alias("first"), "split", "no", "value")
-    gathered = parts.groupBy("file", "first").agg(F.array_sort(F.collect_list(F.struct("split", "no", "value"))).alias("parts"))
-    rest = F.slice("parts", 2, F.greatest(F.size("parts") - 1, F.lit(0)))
-    joined = F.aggregate(rest, F.col("parts")[0]["value"], lambda text, part: F.concat(text, F.lit(b"\n"), part["value"]))
-    several = gathered.select("file", "first.at", "first.number", joined.alias("value"))
-    text = F.col("value").cast("string") if encoding.lower() == "utf-8" else F.decode("value", encoding.upper())
-    found = single.unionByName(several).select("file", "at", "number", F.regexp_replace(text, r"\r\z", "").alias("record"))
-    return found.where(F.col("record").rlike(r"[^\x00-\x20]"))
+    return _gathered(_placed(spark, path), encoding)
 
 
 def _split_header(record: str, sep: str) -> list[str]:
@@ -138,8 +157,7 @@ def read_records(
     spark: SparkSession, path: str, sep: str, schema=None, encoding: str = "utf-8",
     surplus: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
-    """The table in a delimited file or folder with a header record per file, rows in file order
-    (a range sort, which Spark leaves out before aggregates and joins).
+    """The table in a delimited file or folder with a header record per file, rows in file order.
 
     Types not given are found from all values; whole numbers beyond 64 bits count as double.
     Short records are filled with nulls, surplus fields are cut off. ``surplus``, a function from the
@@ -147,16 +165,14 @@ def read_records(
     A file that holds only a header gives no rows, one that holds nothing is an error.
     """
     options = {"sep": sep, "quote": '"', "escape": '"', "multiLine": "true", "lineSep": "\n"}
-    found = records(spark, path, encoding)
-    place = F.struct("at", "number")
-    headers = materialize(
-        found.groupBy("file").agg(F.min(place).alias("place"), F.min_by("record", place).alias("header"))
-    )
-    header = headers.orderBy("file").first()
+    placed = _placed(spark, path)
+    headers, place = materialize(_headers(placed)), F.struct("at", "number")
+    marked = placed.join(headers, "file")
+    header = _gathered(marked.where(place == F.col("place")), encoding).orderBy("file").first()
     if header is None:
         raise ValueError(f"{path} is empty")
-    names = _split_header(header["header"], sep)
-    body = found.join(headers.select("file", "place"), "file").where(F.struct("at", "number") != F.col("place"))
+    names = _split_header(header["record"], sep)
+    body = _gathered(marked.where(place != F.col("place")), encoding)
     if surplus is not None:
         body = body.where(surplus(F.col("record")) <= len(names))
     if schema is None:
@@ -164,6 +180,5 @@ def read_records(
     elif isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     ddl = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(schema.fields))
-    in_order = body.orderBy("file", "at", "number")
-    parsed = in_order.select(F.from_csv("record", ddl, options).alias("r"))
+    parsed = body.select(F.from_csv("record", ddl, options).alias("r"))
     return parsed.select(*[F.col(f"r.c{i}").alias(f.name) for i, f in enumerate(schema.fields)])
