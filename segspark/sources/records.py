@@ -83,7 +83,9 @@ def _placed(spark: SparkSession, path: str) -> DataFrame:
     lines = materialize(scan.mapInArrow(_counted, _LINES))
     own = F.when(F.col("carried"), F.col("inner")).otherwise(F.col("outer"))
     first = F.when(own > 0, F.struct(F.col("split").alias("at"), own.alias("number"))).otherwise(F.col("open"))
-    placed = lines.join(_splits(lines), ["file", "split"]).withColumn("first", first)
+    # Written, so that its size is known before the join is planned.
+    splits = materialize(_splits(lines))
+    placed = lines.join(splits, ["file", "split"]).withColumn("first", first)
     return placed.select("file", "first.at", "first.number", "split", "no", "value")
 
 
