@@ -13,7 +13,7 @@ from segspark.functions import fixed
 from segspark.operators import tables as t
 from segspark.operators.quantiles import median
 from segspark.operators.scaling import winsorize
-from segspark.session import materialize
+from segspark.session import materialize, materialize_bucketed
 
 
 def _strip_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -149,8 +149,10 @@ def clean_brandhealth(
     """The brand-health cleaner; ``image`` is the brand-image table used for likability gaps."""
     names = {"Fre#visit": "Frequency_Visit", "NPS#P3M": "NPS_P3M", "NPS#P3M#Group": "NPS_P3M_Group"}
     df = t.drop_null_in(t.cast_key(t.drop_duplicate_rows(df)), "Awareness")
-    # Median and quantiles need whole passes of their own: each reads a written table.
-    df = materialize(t.rename_present(df, names))
+    # Median and quantiles need whole passes of their own: each reads a written table. The first one
+    # meets the brand images by ID as well.
+    df = t.rename_present(df, names)
+    df = materialize(df) if image is None else materialize_bucketed(df, "ID")
     df = fill_visits(fill_funnel(df, focal), focal)
     df = fill_likability(df, image, image_order)
     df = t.fill_present(df, ["Weekly", "Daily"], fixed.UNKNOWN)

@@ -28,13 +28,16 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, items = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
     customers, nations = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
     parts = table(spark, sf_dir, "part")
+    # The last join is by the ID itself, so that what follows by ID finds the lines partitioned by it.
+    orders = orders.withColumn("_buyer", F.col("o_custkey").cast("string"))
+    customers = customers.withColumn("ID", F.col("c_custkey").cast("string"))
+    residents = customers.join(nations, customers.c_nationkey == nations.n_nationkey)
     return (
         items.join(parts, items.l_partkey == parts.p_partkey)
         .join(orders, items.l_orderkey == orders.o_orderkey)
-        .join(customers, orders.o_custkey == customers.c_custkey)
-        .join(nations, customers.c_nationkey == nations.n_nationkey)
+        .join(residents, F.col("_buyer") == F.col("ID"))
         .select(
-            F.col("c_custkey").cast("string").alias("ID"), F.col("n_name").alias("City"),
+            "ID", F.col("n_name").alias("City"),
             F.year("o_orderdate").alias("Year"), F.month("o_orderdate").alias("month"),
             "o_orderdate", "o_orderkey", "o_orderstatus", "o_orderpriority", "l_linenumber",
             "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus",

@@ -15,7 +15,7 @@ from segspark.operators.scaling import standardized, winsorize
 from segspark.plans import cleaners, integrate
 from segspark.queries import standins as s
 from segspark.queries.standins import rounded, sql_round, table
-from segspark.session import materialize
+from segspark.session import materialize, materialize_bucketed
 
 BRANDS = BrandSpec(focal=s.FOCAL, keep=s.KEEP)
 
@@ -24,8 +24,8 @@ BRANDS = BrandSpec(focal=s.FOCAL, keep=s.KEEP)
 
 def merged(spark, sf_dir):
     """Demographics, need states, brand health, brand image and spending of one year, all cleaned."""
-    # Four tables are derived from the joined lines: join once, read four times, three of them one year.
-    rows = materialize(s.lines(spark, sf_dir), "Year")
+    # Four tables are derived from the joined lines, all by respondent: join once, in buckets of the ID, read four times.
+    rows = materialize_bucketed(s.lines(spark, sf_dir), "ID", ["Year"])
     raw = {
         "sa_var": s.demographics(rows), "needstate": s.needstates(rows), "brandhealth": s.brandhealth(rows),
         "brand_image": s.brand_images(rows), "segmentation": s.spending(spark, sf_dir),
@@ -188,7 +188,7 @@ lookup_fill_last_wins_sql = f"""{_HEALTH_WITH}, {s.BRAND_IMAGES_SQL}, {_FILLED_S
 
 def clean_brandhealth(spark, sf_dir):
     """The whole brand-health cleaner: fills, spending rules, segments, scores, winsorizing."""
-    rows = materialize(s.lines(spark, sf_dir))
+    rows = materialize_bucketed(s.lines(spark, sf_dir), "ID")
     image = cleaners.clean_brand_image(s.brand_images(rows), s.FOCAL)
     return rounded(cleaners.clean_brandhealth(s.brandhealth(rows), s.FOCAL, image, s.IMAGE_ORDER))
 

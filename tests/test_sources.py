@@ -1,7 +1,8 @@
 import pytest
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from segspark.session import materialize, scratch_root
+from segspark.session import materialize, materialize_bucketed, scratch_root
 from segspark.sources import files
 
 
@@ -79,6 +80,24 @@ def test_materialized_table_has_no_history(spark):
     assert scratch_root(spark) in df.inputFiles()[0]
 
 
+def test_bucketed_table_needs_no_shuffle_by_its_key(spark, capsys):
+    """Same rows (null keys and copies too), no shuffle for the write or after it, nothing left in the catalog."""
+    rows = [(None if i % 9 == 0 else f"k{i % 7}", i % 3, i // 2) for i in range(60)]
+    df = spark.createDataFrame(rows + rows[:5], "ID string, Year int, v int")
+    written = materialize_bucketed(df, "ID", ["Year"])
+    assert sorted(written.collect(), key=str) == sorted(df.collect(), key=str)
+    assert spark.catalog.listTables() == [] and scratch_root(spark) in written.inputFiles()[0]
+    counted = written.groupBy("ID", "Year").agg(F.sum("v").alias("v"))
+    previous = counted.withColumn("p", F.lag("v").over(W.partitionBy("ID").orderBy("Year")))
+    again = materialize_bucketed(previous, "ID")
+    both = previous.join(again.groupBy("ID").agg(F.max("v").alias("most")), "ID", "left")
+    for table in (previous, both):
+        capsys.readouterr()
+        table.explain()
+        assert "Exchange hashpartitioning" not in capsys.readouterr().out
+    assert materialize_bucketed(df.where("v < 0"), "ID").count() == 0
+
+
 def test_quoted_newlines_stay_in_their_record(spark, tmp_path):
     path = tmp_path / "notes.csv"
     path.write_text('id;note;x\n1;"first\nsecond; ""third""";a\n2;plain;b\n', encoding="utf-8")
