@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from segspark.functions import fixed
 
 
+# Unicode's White_Space. Trimming a set of characters takes a fraction of a regular expression's time.
+WHITE_SPACE = "\t\n\v\f\r \u0085\u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def as_column(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -34,8 +38,8 @@ def any_of(conditions: Iterable[Column]) -> Column:
 
 
 def strip(c) -> Column:
-    """Trim every kind of white space (``trim`` removes blanks only); null stays null."""
-    return F.regexp_replace(as_column(c), r"(?U)^\s+|\s+$", "")
+    """Trim every kind of white space (``trim`` alone removes blanks only); null stays null."""
+    return F.trim(as_column(c), F.lit(WHITE_SPACE))
 
 
 def replace_values(c, mapping: Mapping[str, str]) -> Column:

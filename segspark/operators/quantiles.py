@@ -99,9 +99,16 @@ def median(df: DataFrame, column: str) -> DataFrame:
 
 def _pass(values: DataFrame, ranks: list[_Rank], sketch: int) -> None:
     """One sketch to propose values, one count to learn where they stand."""
-    proposals = [F.percentile_approx(r.members(), r.around(sketch), sketch).alias(f"q{i}") for i, r in enumerate(ranks)]
+    # Ranks in one interval share its sketch.
+    together: dict[tuple, list[_Rank]] = {}
+    for r in ranks:
+        together.setdefault((r.column, r.low, r.high), []).append(r)
+    proposals = [
+        F.percentile_approx(same[0].members(), [p for r in same for p in r.around(sketch)], sketch).alias(f"q{i}")
+        for i, same in enumerate(together.values())
+    ]
     proposed = values.agg(*proposals).first()
-    wanted = sorted({(r.column, x) for i, r in enumerate(ranks) for x in proposed[f"q{i}"]})
+    wanted = sorted({(c, x) for i, (c, _, _) in enumerate(together) for x in proposed[f"q{i}"]})
     counts = []
     for i, (c, x) in enumerate(wanted):
         counts += [F.count_if(F.col(c) < F.lit(x)).alias(f"below{i}"), F.count_if(F.col(c) <= F.lit(x)).alias(f"upto{i}")]

@@ -23,6 +23,17 @@ def test_strip_removes_every_kind_of_space(spark):
     assert values(df.select(c.strip("s").alias("s")), "s") == [("a b",), ("Trà sữa",), (None,), ("",)]
 
 
+def test_strip_knows_all_white_space_and_no_regular_expression(spark, capsys):
+    spaces = [chr(x) for x in range(0x3001) if chr(x).isspace() and not 0x1C <= x <= 0x1F]
+    texts = [f"{x}a{x}b{x}{x}" for x in spaces] + ["".join(spaces), "\u200ba\u200b", "\u180ea", "\x1ca", "a\n \n"]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i int, s string")
+    out = df.select("s", c.strip("s").alias("t"), F.regexp_replace("s", r"(?U)^\s+|\s+$", "").alias("u"))
+    assert len(spaces) == 25 and all(r["t"] == r["u"] for r in out.collect())
+    capsys.readouterr()
+    df.select(c.strip("s")).explain()
+    assert "regexp" not in capsys.readouterr().out
+
+
 def test_spelling_and_replacement(spark):
     df = spark.createDataFrame([("Indepentdent",), ("Indepedent Cafe",), ("Other",), (None,)], "b string")
     assert values(df.select(c.fix_brand_spelling("b").alias("b")), "b") == [

@@ -51,6 +51,17 @@ def test_quantiles_end_on_ties_and_odd_sizes(spark, values):
         assert np.allclose(got, np.quantile(values, finite), rtol=1e-12)
 
 
+def test_ranks_of_one_interval_share_a_sketch(spark, monkeypatch):
+    from segspark.operators import quantiles
+
+    seen, sketched = [], F.percentile_approx
+    monkeypatch.setattr(quantiles.F, "percentile_approx", lambda *a: seen.append(a) or sketched(*a))
+    df = spark.createDataFrame([(float(i), float(-i)) for i in range(101)], "a double, b double")
+    row = exact_quantiles(df, ["a", "b"], [0.01, 0.5, 0.99]).first()
+    assert row["a"] == [1.0, 50.0, 99.0] and row["b"] == [-99.0, -50.0, -1.0]
+    assert len(seen) == 2
+
+
 def test_quantiles_with_nan_and_nulls(spark):
     rows = [(1.0, None), (2.0, None), (float("nan"), None), (None, None)]
     row = exact_quantiles(spark.createDataFrame(rows, "a double, b double"), ["a", "b"], [0.0, 0.5, 1.0], 5).first()
