@@ -484,7 +484,8 @@ SEGMENT_MODES = ["City", "Occupation", "Brand", "BUMO_Group", "Segmentation"]
 def customer_segments(spark, sf_dir):
     """Which customer groups exist and how do they differ? The whole way: the survey tables are cleaned,
     integrated, given features, encoded and clustered, and the clusters profiled."""
-    rows = materialize(survey.featured(spark, sf_dir))
+    # The starts of KMeans depend on the order of rows: give them one that does not hang on the plan above.
+    rows = materialize(survey.featured(spark, sf_dir).repartition("ID", "City").sortWithinPartitions("ID", "City", "Year"))
     encoded = materialize(FeatureEncoder(survey.ENCODE_SPEC).fit(rows).transform_array(rows, ["ID"]))
     labels = fit_cluster(encoded, "features", "ID", ClusterSpec("kmeans", {"n_clusters": 3, "n_init": 2})).labels
     return rounded(profile_table(rows.join(labels, "ID"), SEGMENT_NUMBERS, SEGMENT_MODES))
